@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webfacts.functions import marking as M
+from webfacts.operators.joins import cut_lineage
 from webfacts.operators.paths import connecting_paths
 
 # Column order of a feature row.
@@ -83,7 +84,7 @@ def add_paths(df: DataFrame, edges: DataFrame, sent_id: str = "sent_id") -> Data
     heads = df.withColumns({
         "source": F.lower(M.head_word(M.strip_punctuation(F.col("e1")))),
         "target": F.lower(M.head_word(M.strip_punctuation(F.col("e2"))))})
-    keyed = heads.withColumnRenamed(sent_id, "sent_id")
+    keyed = cut_lineage(heads.withColumnRenamed(sent_id, "sent_id"))
     return (connecting_paths(keyed, edges)
             .withColumnsRenamed({"path": "shortest_path", "sent_id": sent_id})
             .drop("source", "target"))

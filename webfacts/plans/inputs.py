@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from webfacts.functions import text as T
 from webfacts.operators import model, pages, relations, tagging
 from webfacts.plans.facts import tag_and_mark
+from webfacts.sources import files
 
 # Relation labels of the classifier with name and link. Fixed values; trailing
 # blanks belong to the names.
@@ -41,7 +42,7 @@ KNOWN_RELATIONS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return files.read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -432,7 +432,7 @@ def oracle_sql() -> dict[str, str]:
                 JOIN (SELECT DISTINCT * FROM links) b ON b.id = r.id AND b.entity = lower(e2))"""),
         "one_link_per_entity": _query([*_HITS, "links"], "SELECT DISTINCT id, entity, linking FROM links"),
         "link_lookup": _query([*_HITS, "links"], """SELECT entity, linking, id FROM links
-            WHERE id = 'doc-1' AND entity IN ('that', 'it''s')"""),
+            WHERE (id, entity) = (SELECT (id, entity) FROM links ORDER BY id DESC, entity DESC LIMIT 1)"""),
         "gold_rows": _query(_SCORES, """SELECT record, string, o, NULL::VARCHAR AS rel_id FROM gold_e
             UNION ALL SELECT record, string, o, rel_id FROM gold_r"""),
         "pred_rows": _query(_SCORES, """SELECT record, string, o, NULL::VARCHAR AS rel_id FROM pred_e

@@ -11,7 +11,17 @@ _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spread_scan(spark.read.parquet(path))
+
+
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out when it has fewer splits than there are cores.
+
+    That happens with a few small or unsplittable files, whose text work would
+    run on a core or two. A scan of many files is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
