@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webfacts.functions.text import WORD, BLANK, let, strip
+from webfacts.functions.text import BLANK, UNICODE, escape_query, let, strip
 
 
 def mark_pair(text: Column, entities: Column) -> Column:
@@ -15,10 +15,7 @@ def mark_pair(text: Column, entities: Column) -> Column:
     the one that starts first after its end. A text whose length changes when
     lower-cased stays unmarked, as offsets would shift.
     """
-    low = F.lower(text)
-    names = F.filter(F.array_distinct(entities), lambda e: e != "")
-
-    def earliest(start: Column, skip: Column | None = None) -> Column:
+    def earliest(low: Column, names: Column, start: Column, skip: Column | None = None) -> Column:
         spans = F.transform(names, lambda e: F.struct(
             F.position(e, low, start).alias("at"), (-F.length(e)).alias("neg"), e.alias("name")))
         keep = (lambda s: s["at"] > 0) if skip is None else (
@@ -28,7 +25,7 @@ def mark_pair(text: Column, entities: Column) -> Column:
     def cut(start: Column, stop: Column | None = None) -> Column:
         return F.substring(text, start, F.length(text) if stop is None else stop - start)
 
-    def second(first: Column, end1: Column, found: Column) -> Column:
+    def with_second(first: Column, end1: Column, found: Column) -> Column:
         end2 = found["at"] - found["neg"]
         head = F.concat(cut(F.lit(1), first["at"]), F.lit("<e1>"),
                         cut(first["at"], end1), F.lit("</e1>"))
@@ -36,14 +33,20 @@ def mark_pair(text: Column, entities: Column) -> Column:
             head, cut(end1, found["at"]), F.lit("<e2>"), cut(found["at"], end2),
             F.lit("</e2>"), cut(end2)))
 
-    def marked(first: Column) -> Column:
+    def with_first(low: Column, names: Column, first: Column) -> Column:
         end1 = first["at"] - first["neg"]
-        return F.when(first.isNull(), text).otherwise(
-            let(earliest(end1, first["name"]), lambda found: second(first, end1, found)))
+        return F.when(first.isNull(), text).otherwise(let(
+            earliest(low, names, end1, first["name"]),
+            lambda found: with_second(first, end1, found)))
+
+    def marked(low: Column, names: Column) -> Column:
+        return F.when(
+            (F.length(low) != F.length(text)) | (F.size(names) < 1), text
+        ).otherwise(let(
+            earliest(low, names, F.lit(1)), lambda first: with_first(low, names, first)))
 
-    return F.when(
-        (F.length(low) != F.length(text)) | (F.size(names) < 1), text
-    ).otherwise(let(earliest(F.lit(1)), marked))
+    distinct = F.filter(F.array_distinct(entities), lambda e: e != "")
+    return let(F.lower(text), lambda low: let(distinct, lambda names: marked(low, names)))
 
 
 def entity_texts(entity: Column) -> Column:
@@ -84,7 +87,7 @@ def after_second(marked: Column) -> Column:
 
 def head_word(entity: Column) -> Column:
     """First blank-separated word."""
-    return F.regexp_extract(entity, f"[^{BLANK}]+", 0)
+    return F.regexp_extract(entity, f"{UNICODE}[^{BLANK}]+", 0)
 
 
 def last_entity(entity: Column, name: Column, exact: bool = False) -> Column:
@@ -122,7 +125,7 @@ def relation_direction(label: Column) -> Column:
 
 
 def strip_punctuation(c: Column) -> Column:
-    return F.regexp_replace(c, f"[^{WORD}{BLANK}]", "")
+    return escape_query(c)
 
 
 def clean_pair_sentence(sentence: Column, e1: Column, e2: Column) -> Column:

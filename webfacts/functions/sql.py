@@ -25,7 +25,7 @@ def register(spark: SparkSession) -> list[str]:
               "length(a) - length(replace(a, ch, '')), length(b) - length(replace(b, ch, '')))))")
     bodies = {
         "cut_sentences(t STRING) RETURNS ARRAY<STRING>":
-            f"regexp_extract_all(t, {_quoted(f'(?s)[^{ends}]*[{ends}]+|[^{ends}]+')}, 0)",
+            f"array_remove(split(t, {_quoted(f'(?<=[{ends}])(?=[^{ends}])')}), '')",
         "clean_sentence(t STRING) RETURNS STRING":
             f"array_join(filter(split(regexp_replace({letters}, {_quoted(gaps)}, ' '), ' '), "
             f"w -> w <> '' AND w NOT IN ({stop})), ' ')",

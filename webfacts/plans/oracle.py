@@ -9,10 +9,15 @@ from __future__ import annotations
 from webfacts.constants import (
     BM25_B, BM25_K1, CONTRACTIONS, DROP_ELEMENTS, FEATURE_BRANCHES, SENTENCE_ENDS, STOP_WORDS,
     TOP_K)
-from webfacts.functions.text import BLANK, WORD
+from webfacts.functions.text import WORD
 from webfacts.plans.inputs import KNOWN_RELATIONS, RELATION_DICTIONARY
 
 
+# Unicode blanks, inside a character class.
+BLANK = (r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+         r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+
+
 def _str(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 
