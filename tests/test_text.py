@@ -1,0 +1,85 @@
+import random
+
+from pyspark.sql import functions as F
+
+from webfacts.constants import SENTENCE_ENDS, STOP_WORDS
+from webfacts.functions import sql
+from webfacts.functions import text as T
+
+X = F.col("x")
+
+
+def cut(text):
+    """The rule: a piece ends where an end character meets a non-end."""
+    pieces, start = [], 0
+    for i in range(1, len(text)):
+        if text[i - 1] in SENTENCE_ENDS and text[i] not in SENTENCE_ENDS:
+            pieces.append(text[start:i])
+            start = i
+    return pieces + [text[start:]] if text else []
+
+
+def test_sentences_by_hand(evaluate):
+    rows = ["", "a", "a.", "a..b", "..a", "a.b?!", "?", "a？！b", "a. b… c"]
+    assert evaluate(T.sentences(X), [(r,) for r in rows], "x string") == [
+        [], ["a"], ["a."], ["a..", "b"], ["..", "a"], ["a.", "b?!"], ["?"], ["a？！", "b"],
+        ["a.", " b…", " c"]]
+
+
+def test_sentences_random(evaluate):
+    rng = random.Random(7)
+    rows = ["".join(rng.choice("ab \n" + SENTENCE_ENDS) for _ in range(rng.randrange(30)))
+            for _ in range(500)]
+    assert evaluate(T.sentences(X), [(r,) for r in rows], "x string") == [cut(r) for r in rows]
+
+
+def test_collapse_covers_unicode_blanks(evaluate):
+    rows = ["  a \t b\n", "a  b　", "\x1ca\x1fb\x85", ""]
+    assert evaluate(T.collapse_ws(X), [(r,) for r in rows], "x string") == [
+        " ".join(r.split()) for r in rows]
+
+
+def test_clean_sentence(evaluate):
+    rows = ["The cannot café 123abc foo_bar", "Gonna WANNA go?!", "", "naïve — 42", "Kelvin"]
+    assert evaluate(T.clean_sentence(X, []), [(r,) for r in rows], "x string") == [
+        "the can not abc foo bar", "gon na wan na go", "", "", "kelvin"]
+    assert evaluate(T.clean_sentence(X), [("The can of it was cannot",)], "x string") == [""]
+
+
+def test_stop_words_are_case_folded(evaluate):
+    row = (["The", "Cat", "OF"],)
+    assert evaluate(T.drop_stop_words(X, ["the", "of"]), [row], "x array<string>") == [["Cat"]]
+    assert len(STOP_WORDS) == len(set(STOP_WORDS))
+
+
+def test_unprintable(evaluate):
+    assert evaluate(T.drop_unprintable(X), [("a\x07b c​d e",)], "x string") == ["abcd e"]
+
+
+def test_terms(evaluate):
+    row = [("A bb, ccc a-ccc",)]
+    assert evaluate(T.terms(X, "word"), row, "x string") == [["bb", "ccc", "ccc"]]
+    assert evaluate(T.terms(X, "whitespace"), row, "x string") == [["a", "bb,", "ccc", "a-ccc"]]
+    assert evaluate(T.terms(X, "bigram"), row, "x string") == [["bb ccc", "ccc ccc"]]
+    assert evaluate(T.terms(X, "bigram"), [("one",), ("",)], "x string") == [[], []]
+
+
+def test_term_counts(evaluate):
+    rows = [(["b", "a", "b"],), ([],), (["x"],)]
+    got = evaluate(T.term_counts(X), rows, "x array<string>")
+    assert [[tuple(c) for c in r] for r in got] == [[("a", 1), ("b", 2)], [], [("x", 1)]]
+
+
+def test_escape_query(evaluate):
+    assert evaluate(T.escape_query(X), [("it's (a) \"tést\"_1",)], "x string") == ["its a tést_1"]
+
+
+def test_sql_functions_agree(spark):
+    names = sql.register(spark)
+    assert names == ["cut_sentences", "clean_sentence", "char_cosine"]
+    from webfacts.functions.similarity import char_cosine
+    rows = spark.createDataFrame(
+        [("A cannot be. Or Café 12!", "abcd"), ("", ""), ("x", "")], "x string, y string")
+    got = rows.selectExpr("cut_sentences(x) a", "clean_sentence(x) b", "char_cosine(x, y) c").collect()
+    want = rows.select(T.sentences(X), T.clean_sentence(X), char_cosine(X, F.col("y"))).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
