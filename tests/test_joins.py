@@ -1,0 +1,54 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_text
+from webfacts.operators import joins
+
+
+@pytest.fixture
+def sides(spark):
+    """A third of the rows share one key, copies of rows included."""
+    big = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 200)).alias("key"),
+        (F.col("id") % 7).alias("v"))
+    small = big.select("key").distinct().where("key <> 'k1'").withColumn("w", F.length("key"))
+    return big, small
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_both_ways_agree(sides, how):
+    big, small = sides
+    plain = big.join(small, ["key"], how)
+    rows = sorted(map(tuple, plain.collect()), key=str)
+    assert sorted(map(tuple, joins.lookup_join(big, small, "key", how).collect()), key=str) == rows
+    salted = joins.lookup_join(big, small, "key", how, limit=0)
+    assert salted.columns == plain.columns
+    assert sorted(map(tuple, salted.collect()), key=str) == rows
+
+
+def test_hot_key_is_cut_into_parts(sides):
+    big, small = sides
+    wide = big.withColumn("n", F.monotonically_increasing_id())
+    joined = joins.salted_join(wide, small, ["key"])
+    parts = F.pmod(joins.row_hash(wide), F.lit(joins.SALTS))
+    assert wide.where("key = 'hot'").select(parts).distinct().count() == joins.SALTS
+    assert joined.where("key = 'hot'").count() == 1000
+
+
+def test_small_side_is_broadcast_without_a_shuffle(sides):
+    big, small = sides
+    stored = joins.cut_lineage(small)
+    plan = joins.lookup_join(big, stored, "key", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning" not in plan
+
+
+def test_row_hash_sees_nulls(spark):
+    rows = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
+    assert rows.select(joins.row_hash(rows)).distinct().count() == 2
+
+
+def test_checkpoint_folder_is_taken_from_the_session(spark):
+    assert joins.cut_lineage(spark.range(5)).count() == 5
+    assert spark.sparkContext.getCheckpointDir()
+    assert "localCheckpoint" not in plan_text(joins.cut_lineage(spark.range(5)))

@@ -1,0 +1,139 @@
+import glob
+import gzip
+import os
+
+import pytest
+
+from webfacts.operators import pages
+from webfacts.sources import archives, files
+from webfacts.streaming import ingest
+
+CRLF = ("WARC/1.0\r\nWARC-TREC-ID: p1\r\n\r\n<html>\r\nOne. Two.\r\nWARC/1.0 inside\r\nnot WARC/1.0\r\n"
+        "WARC/1.0\r\nWARC-TREC-ID: p2\r\n\r\n<html>\r\nThree.\r\n  WARC/1.0  \r\nWARC-TREC-ID: p3\r\n\r\n<html>\r\nFour\r\n")
+
+
+def write(path, data: bytes):
+    opener = gzip.open if str(path).endswith(".gz") else open
+    with opener(path, "wb") as out:
+        out.write(data)
+
+
+def expected(text):
+    """Records of a text: cut at lines that hold the mark only."""
+    out, now = [], []
+    for line in text.replace("\r\n", "\n").split("\n"):
+        if line.strip() == "WARC/1.0":
+            out.append("\n".join(now))
+            now = []
+        else:
+            now.append(line)
+    return sorted(p.rstrip("\n") for p in [*out, "\n".join(now)])
+
+
+@pytest.mark.parametrize("name", ["a.warc.gz", "a.warc"])
+@pytest.mark.parametrize("newline", ["\r\n", "\n"])
+def test_warc(spark, tmp_path, name, newline):
+    text = CRLF.replace("\r\n", newline)
+    write(tmp_path / name, text.encode())
+    sep = archives.CRLF_SEPARATOR if newline == "\r\n" else archives.LF_SEPARATOR
+    got = archives.read_warc(spark, str(tmp_path / name), line_sep=sep)
+    assert sorted(r["payload"] for r in got.collect()) == expected(text)
+    # The wrong separator costs memory, not records.
+    other = archives.read_warc(spark, str(tmp_path / name), line_sep="\n\nWARC/1.0\n", spread=3)
+    assert sorted(r["payload"] for r in other.collect()) == expected(text)
+    ids = {r["id"] for r in pages.page_bodies(got).collect()}
+    assert ids == {"p1", "p2", "p3"}
+
+
+def test_warc_of_many_files_and_bad_bytes(spark, tmp_path):
+    write(tmp_path / "a.gz", b"WARC/1.0\r\nWARC-TREC-ID: a\r\n\r\n<html>caf\xff\xc3\xa9 \xef\xbf\xbd\r\n")
+    write(tmp_path / "b.gz", "WARC/1.0\r\nWARC-TREC-ID: b\r\n\r\n<html>ok �\r\n".encode())
+    got = archives.read_warc(spark, str(tmp_path / "*.gz"))
+    assert got.select("path").distinct().count() == 2
+    bodies = {r["id"]: r["html"] for r in pages.page_bodies(got).collect()}
+    assert bodies == {"a": "<html>café ", "b": "<html>ok �"}
+
+
+def test_stream_reads_each_file_once(spark, tmp_path):
+    source, target, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    os.mkdir(source)
+    write(f"{source}/a.warc", CRLF.encode())
+    ingest.ingest_sentences(spark, source, target, check).awaitTermination()
+    first = spark.read.parquet(target).count()
+    write(f"{source}/b.warc", b"WARC/1.0\r\nWARC-TREC-ID: p9\r\n\r\n<html>\r\nLast one.\r\n")
+    ingest.ingest_sentences(spark, source, target, check).awaitTermination()
+    both = spark.read.parquet(target)
+    assert both.count() == first + 1
+    batch = pages.page_sentences(archives.read_warc(spark, f"{source}/*"))
+    assert sorted(map(tuple, both.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_blocks(spark, tmp_path):
+    (tmp_path / "t.txt").write_text(
+        '1\t"A <e1>b</e1>."\nRel(e1,e2)\nComment:\n\n2\t"C"\nOther\nComment: x\n\n')
+    got = files.read_blocks(spark, str(tmp_path / "t.txt"))
+    assert sorted(map(tuple, got.collect())) == [('1\t"A <e1>b</e1>."', "Rel(e1,e2)"), ('2\t"C"', "Other")]
+    (tmp_path / "w.txt").write_bytes(b'1\t"A"\r\nRel(e1,e2)\r\nComment:\r\n\r\n2\t"C"\r\nOther\r\nComment:\r\n\r\n')
+    got = files.read_blocks(spark, str(tmp_path / "w.txt"), line_end="\r\n")
+    assert sorted(map(tuple, got.collect())) == [('1\t"A"', "Rel(e1,e2)"), ('2\t"C"', "Other")]
+
+
+def test_dictionaries(spark, tmp_path):
+    (tmp_path / "labels.tsv").write_text('A "b\tu1\nC\tu2\nA "b\tu3\n')
+    got = files.read_label_dictionary(spark, str(tmp_path / "labels.tsv"))
+    assert sorted(map(tuple, got.collect())) == [('A "b', "u3"), ("C", "u2")]
+    (tmp_path / "known.tsv").write_text("is a\ts\to\tr\n")
+    assert tuple(files.read_known_relations(spark, str(tmp_path / "known.tsv")).first()) == ("is a", "s", "o", "r")
+    (tmp_path / "rel.csv").write_bytes(b'"X e1,e2",has effect ,http://x\r\nOther nan,,\r\n')
+    got = files.read_relation_dictionary(spark, str(tmp_path / "rel.csv"))
+    assert [tuple(r) for r in got.collect()] == [("X e1,e2", "has effect ", "http://x"), ("Other nan", None, None)]
+
+
+def test_last_line_wins_however_the_file_is_cut(spark, tmp_path):
+    rows = [f"L{i % 50}\tu{i}" for i in range(5000)]
+    (tmp_path / "l.tsv").write_text("\n".join(rows) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        lines = files.read_lines(spark, str(tmp_path / "l.tsv"))
+        assert lines.rdd.getNumPartitions() > 5
+        got = files.read_label_dictionary(spark, str(tmp_path / "l.tsv"))
+        assert {r["label"]: r["url"] for r in got.collect()} == {f"L{i % 50}": f"u{i}" for i in range(5000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([('a "q", b', 1, ["x"]), (None, 2, None)], "s string, n int, l array<string>")
+    files.write_csv(df, str(tmp_path / "c"))
+    back = files.read_csv(spark, str(tmp_path / "c"), "s string, n int, l string")
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(
+        map(str, [('a "q", b', 1, '["x"]'), (None, 2, None)]))
+
+
+def test_lines_append(spark, tmp_path):
+    one = spark.createDataFrame([("x\ty",)], "value string")
+    files.write_lines(one, str(tmp_path / "o"))
+    files.write_lines(one, str(tmp_path / "o"), mode="append")
+    assert spark.read.text(str(tmp_path / "o")).count() == 2
+    files.write_lines(one, str(tmp_path / "o"))
+    assert spark.read.text(str(tmp_path / "o")).count() == 1
+
+
+@pytest.mark.parametrize("buckets", [4, None])
+def test_links_round_trip(spark, tmp_path, buckets):
+    links = spark.createDataFrame(
+        [("007", "cat", "u"), ("8", "dog", None), ("p-1", "emu", "v")], "id string, entity string, linking string")
+    path = str(tmp_path / "links")
+    files.write_links(links, path, buckets=buckets)
+    back = files.read_links(spark, path)
+    assert back.columns == ["id", "entity", "linking"]
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, map(tuple, links.collect())))
+    assert glob.glob(f"{path}/{'bucket' if buckets else 'id'}=*")
+
+
+def test_tables(spark, tmp_path):
+    df = files.local_table(spark, [(1, "a")], "i int, s string")
+    files.write_parquet(df, str(tmp_path / "t"))
+    files.write_parquet(df, str(tmp_path / "t"))
+    assert [tuple(r) for r in files.read_parquet(spark, str(tmp_path / "t")).collect()] == [(1, "a")]

@@ -110,10 +110,14 @@ def both(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), F.concat_ws(" ", a, b))
 
 
+def starred(label: Column) -> Column:
+    """``Rel(e1,e2)`` to ``Rel**e1,e2``."""
+    return F.replace(F.replace(label, F.lit("("), F.lit("**")), F.lit(")"), F.lit(""))
+
+
 def relation_pieces(label: Column) -> Column:
-    """``Rel(e1,e2)`` to its pieces: relation and, if any, direction."""
-    starred = F.replace(F.replace(label, F.lit("("), F.lit("**")), F.lit(")"), F.lit(""))
-    return F.transform(F.split(starred, r"\*\*"), strip)
+    """Relation and, if any, direction of ``Rel(e1,e2)``."""
+    return F.transform(F.split(starred(label), r"\*\*"), strip)
 
 
 def relation_name(label: Column) -> Column:

@@ -121,10 +121,12 @@ def whitespace_tokens(c: Column) -> Column:
 
 def bigrams(tokens: Column) -> Column:
     """Neighbouring token pairs, blank-joined."""
-    pairs = F.zip_with(
-        tokens, F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
-    return F.filter(pairs, lambda p: p.isNotNull())
+    def pairs(t: Column) -> Column:
+        following = F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0)))
+        return F.filter(
+            F.zip_with(t, following, lambda x, y: F.when(y.isNotNull(), F.concat_ws(" ", x, y))),
+            lambda p: p.isNotNull())
+    return let(tokens, pairs)
 
 
 def terms(c: Column, kind: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webfacts.functions import marking as M
+from webfacts.functions.text import strip
 from webfacts.operators.joins import cut_lineage
 from webfacts.operators.paths import connecting_paths
 
@@ -34,7 +35,7 @@ def relation_candidates(tagged: DataFrame, sent_no: str | None = None) -> DataFr
 def labelled_sentences(blocks: DataFrame) -> DataFrame:
     """``(line, input_relation)`` blocks to ``(input_sentence, input_relation)``."""
     return blocks.select(
-        M.quoted(F.col("line")).alias("input_sentence"), F.trim("input_relation").alias("input_relation"))
+        M.quoted(F.col("line")).alias("input_sentence"), strip(F.col("input_relation")).alias("input_relation"))
 
 
 def split_marked(df: DataFrame, marked: str = "input_sentence") -> DataFrame:
@@ -72,10 +73,12 @@ def add_token_tags(df: DataFrame) -> DataFrame:
 
 
 def add_relation(df: DataFrame) -> DataFrame:
-    """Add ``relation`` and ``direction`` of ``input_relation``."""
+    """Add ``relation`` and ``direction`` of ``input_relation``, which keeps its
+    form with ``**`` between the two."""
     return df.withColumns({
         "relation": M.relation_name(F.col("input_relation")),
-        "direction": M.relation_direction(F.col("input_relation"))})
+        "direction": M.relation_direction(F.col("input_relation")),
+        "input_relation": M.starred(F.col("input_relation"))})
 
 
 def add_paths(df: DataFrame, edges: DataFrame, sent_id: str = "sent_id") -> DataFrame:

@@ -388,7 +388,7 @@ def oracle_sql() -> dict[str, str]:
             wtags[list_filter(range(1, len(words) + 1), lambda i: contains(words[i], e2) AND NOT contains(words[i], e1))[-1]] AS e2_postag
             FROM parts JOIN lists ON sent_id = id || '-' || sent_no"""),
         "relation_labels": _query(_RULED, r"""SELECT id,
-              CASE WHEN direction IS NULL THEN relation ELSE relation || '(' || direction || ')' END AS input_relation,
+              relation || coalesce('**' || direction, '') AS input_relation,
               relation, coalesce(direction, 'nan') AS direction, relation || ' ' || coalesce(direction, 'nan') AS label
             FROM (SELECT id, CASE WHEN preds LIKE '% e_,e_' THEN left(preds, length(preds) - 6)
                 WHEN preds = 'Other nan' THEN 'Other' ELSE preds END AS relation,
