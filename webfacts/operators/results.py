@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webfacts.constants import ENTITY_PREFIX, NAN_TEXT, NONE_TEXT, RELATION_PREFIX
-from webfacts.operators.joins import lookup_join
+from webfacts.operators.joins import cut_lineage, lookup_join
 
 
 def one_link_per_entity(links: DataFrame) -> DataFrame:
@@ -16,8 +16,9 @@ def one_link_per_entity(links: DataFrame) -> DataFrame:
 
 def attach_links(relations: DataFrame, links: DataFrame) -> DataFrame:
     """Add ``e1_link`` and ``e2_link``; a relation whose entity has no link row
-    is dropped, one whose link is null stays."""
-    unique = one_link_per_entity(links)
+    is dropped, one whose link is null stays. The unique links are checkpointed,
+    as both entities look them up."""
+    unique = cut_lineage(one_link_per_entity(links))
     out = relations.withColumns({"_e1": F.lower("e1"), "_e2": F.lower("e2")})
     for n in ("1", "2"):
         side = unique.select("id", F.col("entity").alias(f"_e{n}"),

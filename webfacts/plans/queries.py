@@ -13,6 +13,7 @@ from webfacts.functions import similarity
 from webfacts.functions import text as T
 from webfacts.operators import (
     containment, features, linking, model, pages, paths, relations, results, scoring, tagging)
+from webfacts.operators.joins import cut_lineage
 from webfacts.plans import facts, inputs
 from webfacts.sources import files
 
@@ -138,7 +139,7 @@ def _mentions(spark, sf):
 
 
 def _described(spark, sf):
-    base = inputs.kb(spark, sf)
+    base = cut_lineage(inputs.kb(spark, sf))
     found = linking.candidates(_mentions(spark, sf), linking.build_index(base))
     return linking.describe_candidates(found, base)
 
@@ -165,7 +166,7 @@ def word_cosine(spark, sf):
 
 
 def entity_links(spark, sf):
-    tagged = inputs.tagged(spark, sf, mentioned_only=True)
+    tagged = cut_lineage(inputs.tagged(spark, sf, mentioned_only=True).select("id", "entity"))
     return linking.link_entities(tagged, inputs.kb(spark, sf))
 
 
@@ -218,7 +219,7 @@ def clean_pair_sentence(spark, sf):
 
 
 def connecting_paths(spark, sf):
-    tree = inputs.tree(spark, sf)
+    tree = cut_lineage(inputs.tree(spark, sf))
     ends = tree.groupBy("sent_id").agg(
         F.min_by("token", "pos").alias("source"), F.max_by("token", "pos").alias("target"))
     return paths.connecting_paths(ends, paths.token_edges(tree)).select(
@@ -242,7 +243,8 @@ def feature_paths(spark, sf):
     rows = relations.relation_candidates(inputs.tagged(spark, sf, mentioned_only=True), "sent_no")
     keyed = rows.withColumn("sent_id", F.concat_ws("-", "id", "sent_no"))
     parts = relations.split_marked(keyed, "labeled_text")
-    with_paths = relations.add_paths(parts, paths.token_edges(inputs.tree(spark, sf)))
+    tree = cut_lineage(inputs.tree(spark, sf))
+    with_paths = relations.add_paths(parts, paths.token_edges(tree))
     return with_paths.select("sent_id", "labeled_text", "e1", "e2", "shortest_path")
 
 
@@ -349,11 +351,11 @@ def score_relations(spark, sf):
 def page_facts(spark, sf):
     """Pages to result lines, with a classifier trained on the labelled documents."""
     sentences = pages.page_sentences(inputs.records(spark, sf))
-    tagged = facts.tag_and_mark(
-        sentences, inputs.gazetteer(spark, sf), inputs.lexicon(spark, sf), mentioned_only=True)
+    tagged = cut_lineage(facts.tag_and_mark(
+        sentences, inputs.gazetteer(spark, sf), inputs.lexicon(spark, sf), mentioned_only=True))
     fitted = model.fit_relations(inputs.labelled_pairs(spark, sf))
     return facts.fact_lines(
-        tagged, inputs.kb(spark, sf), fitted, inputs.relation_dictionary(spark))
+        tagged, cut_lineage(inputs.kb(spark, sf)), fitted, inputs.relation_dictionary(spark))
 
 
 CATALOGUE: list[Callable[[SparkSession, str], DataFrame]] = [
