@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,24 +68,27 @@ def salted_join(
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to reliable storage.
-
-    The folder is the one the cluster sets in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a folder of its own.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        _local_checkpoint_dir(spark)
+    """Checkpoint to reliable storage, where a lost executor cannot lose it."""
+    _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def _local_checkpoint_dir(spark: SparkSession) -> None:
-    import tempfile
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the checkpoint folder, which all nodes share."""
+    return f"{_checkpoint_dir(spark)}/webfacts-{uuid.uuid4().hex}"
+
 
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all nodes share")
-        folder = tempfile.mkdtemp(prefix="webfacts-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the cluster sets in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all nodes share")
+            folder = tempfile.mkdtemp(prefix="webfacts-checkpoint-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()

@@ -340,6 +340,15 @@ def oracle_sql() -> dict[str, str]:
         "printable_text": r"""SELECT conv_id, turn, regexp_replace(text,
             '\p{C}|\p{Zl}|\p{Zp}|[\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]', '', 'g') AS text
             FROM conversations""",
+        "archive_records": _query(_RECORDS, "SELECT id, md5(rtrim(payload, chr(10))) AS digest FROM keyed"),
+        "labelled_blocks": f"""SELECT md5(trim({_collapse('text')}, '"')) AS digest,
+            upper(lang[1]) || lang[2:] AS relation, 'e2,e1' AS direction FROM documents""",
+        "stored_links": _query([*_HITS, "links"], "SELECT id, entity, linking FROM links"),
+        "stored_relations": _query(_RULED, "SELECT id, e1, e2, preds FROM ruled"),
+        "appended_lines": _query(["hrefs", "preds"], """SELECT 'ENTITY: page-' || page_id || chr(9) || a || chr(9) || href AS value FROM preds
+            UNION ALL SELECT 'ENTITY: page-' || page_id || chr(9) || a || chr(9) || '/again' FROM preds WHERE n % 4 = 1
+            UNION ALL SELECT 'RELATION: page-' || page_id || chr(9) || '/' || chr(9) || href || chr(9) || 'links to ' || n
+              || CASE WHEN page_id % 2 = 0 THEN chr(9) || 'P1' ELSE '' END FROM preds WHERE n % 2 = 0"""),
         "entities_flat": _query(_HITS, "SELECT id, sent_no, ent_no, alias AS text, label FROM hits"),
         "entities_multiword": _query(
             [*_CLEAN, "titles", "anchors", "lex", "phrases", "phrase_gaz", "tokens", "phrase_hits", "walk"],

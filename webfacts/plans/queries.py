@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webfacts.constants import NAN_TEXT
+from webfacts.constants import NAN_TEXT, RECORD_MARK
 from webfacts.functions import marking as M
 from webfacts.functions import similarity
 from webfacts.functions import text as T
 from webfacts.operators import (
     containment, features, linking, model, pages, paths, relations, results, scoring, tagging)
-from webfacts.operators.joins import cut_lineage
+from webfacts.operators.joins import cut_lineage, shared_folder
 from webfacts.plans import facts, inputs
-from webfacts.sources import files
+from webfacts.sources import archives, files
 
 
 def _render(entity: str = "entity"):
@@ -69,6 +69,53 @@ def printable_text(spark, sf):
         "conv_id", "turn", T.drop_unprintable(F.col("text")).alias("text"))
 
 
+# --- files -----------------------------------------------------------------
+
+def archive_records(spark, sf):
+    """The records written as gzip archives and read back."""
+    path = shared_folder(spark)
+    mark = F.lit(f"{RECORD_MARK}\r\n")
+    written = inputs.records(spark, sf).select(
+        F.concat(mark, F.replace("payload", F.lit("\n"), F.lit("\r\n"))).alias("value"))
+    written.write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
+    return archives.read_warc(spark, path).where("payload <> ''").select(
+        pages.H.page_key(F.col("payload")).alias("id"), F.md5("payload").alias("digest"))
+
+
+def labelled_blocks(spark, sf):
+    """Documents written as labelled four-line blocks and read back."""
+    path = shared_folder(spark)
+    block = F.concat(F.col("doc_id").cast("string"), F.lit('\t"'), T.collapse_ws(F.col("text")),
+                     F.lit('"\n'), F.initcap("lang"), F.lit("(e2,e1)\nComment:\n"))
+    inputs.table(spark, sf, "documents").select(block.alias("value")).write.text(path)
+    rows = relations.labelled_sentences(files.read_blocks(spark, path))
+    return relations.add_relation(rows).select(
+        F.md5("input_sentence").alias("digest"), "relation", "direction")
+
+
+def stored_links(spark, sf):
+    """The link table written in hash buckets and read back."""
+    path = shared_folder(spark)
+    files.write_links(inputs.ruled_links(spark, sf), path, buckets=8)
+    return files.read_links(spark, path)
+
+
+def stored_relations(spark, sf):
+    """Relation rows written as CSV with a header line and read back."""
+    path = shared_folder(spark)
+    files.write_csv(inputs.ruled_relations(spark, sf), path)
+    return files.read_csv(spark, path, "id string, e1 string, e2 string, preds string")
+
+
+def appended_lines(spark, sf):
+    """Prediction lines of two runs in one folder."""
+    path = shared_folder(spark)
+    lines = inputs.pred_lines(spark, sf)
+    files.write_lines(lines.where("value LIKE 'ENTITY%'"), path)
+    files.write_lines(lines.where("value LIKE 'RELATION%'"), path, mode="append")
+    return files.read_lines(spark, path).select("value")
+
+
 # --- tagging and marking ---------------------------------------------------
 
 def _tagged_phrases(spark, sf):
@@ -361,6 +408,7 @@ def page_facts(spark, sf):
 CATALOGUE: list[Callable[[SparkSession, str], DataFrame]] = [
     record_keys, html_bodies, page_texts, page_sentences, doc_sentences, clean_sentences,
     stopword_anti_join, printable_text,
+    archive_records, labelled_blocks, stored_links, stored_relations, appended_lines,
     entities_flat, entities_multiword, entity_arrays, pos_strings, token_pos, distinct_entities,
     marked_pairs, label_containment, attached_relations,
     escaped_queries, kb_candidates, char_cosine_rank, word_cosine, entity_links,
