@@ -112,6 +112,27 @@ def test_rows_without_any_known_term_keep_a_class(spark):
     assert row["preds"] == fitted.labels[max(range(3), key=lambda k: fitted.intercepts[k])]
 
 
+def test_blocks_to_classes(spark):
+    """Labelled blocks with repeated rows, end to end; copies count and stay apart."""
+    from webfacts.operators import tagging
+    kinds = [("caused by", "Cause-Effect(e2,e1)"), ("near", "Other")]
+    blocks = spark.createDataFrame(
+        [(f'{i}\t"The <e1>cat</e1> {kinds[i % 2][0]} <e2>dog</e2> {i % 3}."', kinds[i % 2][1]) for i in range(24)],
+        "line string, input_relation string")
+    gazetteer = tagging.prepare_gazetteer(spark.createDataFrame([("cat", "A"), ("dog", "B")], "alias string, label string"))
+    rows = model.training_table(blocks, gazetteer)
+    got = rows.select("e1_e2_ner", "label", "copies", "input_relation", model.ROW).collect()
+    assert len(got) == 6 and len({r[model.ROW] for r in got}) == 6
+    assert {(r["e1_e2_ner"], r["copies"]) for r in got} == {("A B", 4.0)}
+    assert {(r["label"], r["input_relation"]) for r in got} == {
+        ("Cause-Effect e2,e1", "Cause-Effect**e2,e1"), ("Other nan", "Other")}
+    fitted = model.fit_relations(rows, max_iter=10)
+    predicted = model.predict_relations(rows, fitted)
+    assert model.evaluate(predicted, fitted) == 1.0
+    twice = model.predict_relations(rows.unionAll(rows), fitted)
+    assert twice.count() == 12 and twice.where("preds <> label").count() == 0
+
+
 def test_tuning(spark):
     got = model.tune_relations(labelled(spark, 18), grid=(1.0, 100.0), folds=2, max_iter=3).collect()
     assert [r["c"] for r in got] == [1.0, 100.0] and all(0 <= r["score"] <= 1 for r in got)

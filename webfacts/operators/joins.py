@@ -37,6 +37,8 @@ def lookup_join(
     The dictionary is broadcast when its measured size is within ``limit``;
     then ``big`` is not shuffled. Otherwise both sides are shuffled, with hot
     keys of ``big`` salted. ``how`` is ``inner``, ``left`` or ``left_semi``.
+    Measuring evaluates ``small`` once more, so it should be a stored table or
+    a checkpointed frame when it is costly.
     """
     on = [on] if isinstance(on, str) else list(on)
     if text_bytes(small) <= limit:

@@ -400,7 +400,7 @@ def page_facts(spark, sf):
     sentences = pages.page_sentences(inputs.records(spark, sf))
     tagged = cut_lineage(facts.tag_and_mark(
         sentences, inputs.gazetteer(spark, sf), inputs.lexicon(spark, sf), mentioned_only=True))
-    fitted = model.fit_relations(inputs.labelled_pairs(spark, sf))
+    fitted = model.fit_relations(inputs.labelled_pairs(spark, sf), max_iter=20)
     return facts.fact_lines(
         tagged, cut_lineage(inputs.kb(spark, sf)), fitted, inputs.relation_dictionary(spark))
 
