@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webfacts.functions import text as T
-from webfacts.operators import model, pages, relations, tagging
+from webfacts.operators import model, pages, relations
 from webfacts.plans.facts import tag_and_mark
 from webfacts.sources import files
 
