@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from webfacts.llm.columns import group_key, leading, seeded, small, staged, word_count
 
-PIECE = 4096
+PIECE = 1024
 # Columns that the operator works with; input columns of these names are
 # replaced, all others are kept.
 OWN = ["size", "source_size", "target", "copies", "taken"]

@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webfacts.llm import chat, mixing, sharding
-from webfacts.llm.columns import staged, word_count
+from webfacts.llm import (
+    chat, fingerprint, grammar, langid, mixing, packing, sharding, topk)
+from webfacts.llm.columns import shared_folder, staged, word_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """Place of a public vocabulary file, which every machine has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_neighbours(_table(spark, sf_dir, "documents"))
+
+
+def op3_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    grammar.write_shards(
+        _table(spark, sf_dir, "documents"), folder, _tokenizer("word_bpe_49k.json"), end_id=2)
+    return grammar.read_shards(spark, folder)
+
+
 def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = "</s>[INST] ok [/INST]"
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -29,6 +48,18 @@ def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "escaped")
 
 
+def op6_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = staged(_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        topk.integer_weights(F.col("embedding")).alias("weights")))
+    return topk.search(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
+def op7_differenced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        _table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=1)
+
+
 def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.text_rows(
         _table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -45,4 +76,19 @@ def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
-CATALOGUE = [op5_chat_round_trip, op8_interleaved_shards, op9_mixture]
+def held_out(key: Column) -> Column:
+    """A third of the documents, by id, that the classifier never learns from."""
+    return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))
+
+
+def op10_compressed_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    split = docs.withColumn("held_out", held_out(F.col("doc_id")))
+    known = langid.fit(split.where("NOT held_out"))
+    return langid.identify(split.drop("lang"), known).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+CATALOGUE = [
+    op2_piecewise_fingerprints, op3_repair_token_files, op5_chat_round_trip, op6_exact_search,
+    op7_differenced_packing, op8_interleaved_shards, op9_mixture, op10_compressed_language]

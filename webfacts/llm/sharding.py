@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from webfacts.llm.columns import group_key, leading, seeded, small
 
-PIECE = 4096
+PIECE = 1024
 
 
 def interleave(
