@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webfacts.llm import (
-    chat, fingerprint, grammar, langid, mixing, packing, sharding, topk)
+    chat, fingerprint, grammar, langid, mixing, ngram_join, packing, pagediff, sharding, topk)
 from webfacts.llm.columns import shared_folder, staged, word_count
 
 
@@ -21,6 +21,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_shingles(
+        _table(spark, sf_dir, "documents"), k=4, similarity=(85, 100))
+
+
 def op2_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_neighbours(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +37,10 @@ def op3_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read_shards(spark, folder)
 
 
+def op4_page_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagediff.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = "</s>[INST] ok [/INST]"
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -90,5 +99,6 @@ def op10_compressed_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOGUE = [
-    op2_piecewise_fingerprints, op3_repair_token_files, op5_chat_round_trip, op6_exact_search,
+    op1_shingle_join, op2_piecewise_fingerprints, op3_repair_token_files,
+    op4_page_differences, op5_chat_round_trip, op6_exact_search,
     op7_differenced_packing, op8_interleaved_shards, op9_mixture, op10_compressed_language]

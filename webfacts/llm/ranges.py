@@ -8,6 +8,7 @@ tasks, and tasks stream their rows in order.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,20 +30,27 @@ def cut_points(rows: DataFrame, key: str, ranges: int | None = None) -> list[int
     return sorted({c for c in row["cuts"] or [] if c > row["least"]})
 
 
-def range_of(key: Column, cuts: list[int]) -> Column:
-    """Number of the range an id lies in; null ids are in the first.
+def _longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values])
 
-    Looks for the group of cut points first, then inside it.
+
+def range_of(
+    key: Column, cuts: list, literal: Callable[[list], Column] = _longs,
+) -> Column:
+    """Number of the range a key lies in; null keys are in the first.
+
+    ``literal`` makes an array of cut points. Looks for the group of cut points
+    first, then inside it.
     """
     if not cuts:
         return F.lit(0)
     step = math.isqrt(len(cuts)) or 1
     groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
     below = lambda c: c <= key
-    lit = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
-    group = F.size(F.filter(lit([g[0] for g in groups]), below))
-    inside = F.size(F.filter(F.element_at(F.array(*map(lit, groups)), group), below))
-    return F.when(key.isNull() | (key < cuts[0]), F.lit(0)).otherwise((group - 1) * step + inside)
+    group = F.size(F.filter(literal([g[0] for g in groups]), below))
+    inside = F.size(F.filter(F.element_at(F.array(*map(literal, groups)), group), below))
+    return F.when(key.isNull() | (key < F.element_at(literal(cuts[:1]), 1)), F.lit(0)).otherwise(
+        (group - 1) * step + inside)
 
 
 def in_ranges(rows: DataFrame, part: str, *order: Column) -> DataFrame:
