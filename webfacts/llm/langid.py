@@ -67,14 +67,14 @@ def fit(
               .groupBy("_lang").agg(F.array_sort(F.collect_list(F.struct("_hash", "_piece"))).alias("_all"))
               .collect())
     return {r["_lang"]: _plain("\n".join(p["_piece"] for p in r["_all"])).encode()
-            for r in sorted(sample, key=lambda r: r["_lang"])}
+            for r in sorted(sample, key=lambda r: (-counts[r["_lang"]], r["_lang"]))}
 
 
 def _compressors(dictionaries: dict[str, bytes], level: int, block: int) -> list:
     import zstandard
 
     out = []
-    for lang, content in sorted(dictionaries.items()):
+    for lang, content in dictionaries.items():
         known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         setting = zstandard.ZstdCompressionParameters.from_level(
             level, dict_size=len(content), source_size=block, write_content_size=False,
@@ -91,11 +91,12 @@ def classify(text: str | None, compressors: list, block: int, min_margin: float)
         return UNKNOWN, 0.0, True
     data = _plain(text).encode("utf-8", "replace")
     blocks = [data[i:i + block] for i in range(0, len(data), block)]
-    sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in compressors)
+    sizes = sorted((sum(len(c.compress(b)) for b in blocks), i) for i, (_, c) in enumerate(compressors))
+    best = compressors[sizes[0][1]][0]
     if len(sizes) == 1:
-        return sizes[0][1], 1.0, False
+        return best, 1.0, False
     margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
-    return sizes[0][1], margin, margin < min_margin
+    return best, margin, margin < min_margin
 
 
 def identify(
@@ -106,8 +107,9 @@ def identify(
 
     Defined cases: a null, empty or letterless text, and any text when nothing
     was learned, is ``und`` with score 0 and rejected; with one language only,
-    each text is of it with score 1; equal totals go to the language first in
-    code point order with score 0; repeated rows agree; columns of the new
+    each text is of it with score 1; equal totals go to the language that comes
+    first in ``dictionaries`` (``fit`` puts the most frequent first) with score
+    0; repeated rows agree; columns of the new
     names are replaced. Narrow; no shuffle.
     """
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from webfacts.llm.columns import group_key, leading, seeded, small, staged, word_count
 
 PIECE = 1024
+# The offset of a source is the one of so many seeded draws that takes its words
+# closest to the target.
+OFFSETS = 16
 # Columns that the operator works with; input columns of these names are
 # replaced, all others are kept.
 OWN = ["size", "source_size", "target", "copies", "taken"]
@@ -110,22 +113,33 @@ def mix(
              .rowsBetween(Window.unboundedPreceding, -1))
     bases = small(counts.select(
         *place, F.coalesce(F.sum("_rows").over(along), F.lit(0)).alias("_base")))
-    within = Window.partitionBy(*place).orderBy("_hash", F.col(doc_id), "_size")
-    offset = leading(seeded(seed, F.col("_skey"))) / F.lit(2.0 ** 32)
+    within = Window.partitionBy(*place).orderBy("_hash", "_size")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
 
-    def crossed(rank: Column) -> Column:
-        return F.floor(offset + rate * rank)
-
-    ranked = (
-        sized.join(cuts, ["_skey", "_digits", "_head"]).withColumn("_part", cut)
-        .withColumn("_at", F.row_number().over(within))
-        .join(bases, place)
-        .withColumn("_rank", F.col("_base") + F.col("_at")))
-    copies = (crossed(F.col("_rank")) - crossed(F.col("_rank") - 1)).cast("long")
+    def ranked(rows: DataFrame) -> DataFrame:
+        return (
+            rows.join(cuts, ["_skey", "_digits", "_head"]).withColumn("_part", cut)
+            .withColumn("_at", F.row_number().over(within))
+            .join(bases, place)
+            .withColumn("_rank", F.col("_base") + F.col("_at")))
+
+    def copies(offset: Column) -> Column:
+        crossed = lambda rank: F.floor(offset + rate * rank)
+        return (crossed(F.col("_rank")) - crossed(F.col("_rank") - 1)).cast("long")
+
+    drawn = [leading(seeded(seed, F.concat(F.lit(f"{i}|"), F.col("_skey")))) / F.lit(2.0 ** 32)
+             for i in range(OFFSETS)]
+    words = (
+        ranked(keys).groupBy("_skey").agg(
+            F.first("target").alias("_target"),
+            *[F.sum(copies(offset) * F.col("_size")).alias(f"_sum{i}") for i, offset in enumerate(drawn)]))
+    nearest = F.array_min(F.array(*[
+        F.struct(F.abs(F.col(f"_sum{i}") - F.col("_target")).alias("off"), F.lit(i).alias("i"),
+                 offset.alias("offset")) for i, offset in enumerate(drawn)]))
+    offsets = small(words.select("_skey", nearest["offset"].alias("_offset")))
     kept = [c for c in docs.columns if c in sized.columns]
     return (
-        ranked.withColumn("copies", copies)
+        ranked(sized).join(offsets, "_skey").withColumn("copies", copies(F.col("_offset")))
         .select(*[F.col(f"`{c}`") for c in kept], F.col("_size").alias("size"), "source_size", "target",
                 "copies", (F.col("copies") * F.col("_size")).alias("taken")))
 

@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_file(name: str) -> str:
     """Place of a public vocabulary file, which every machine has."""
     import public_tokenizers
 
@@ -33,7 +33,7 @@ def op2_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     grammar.write_shards(
-        _table(spark, sf_dir, "documents"), folder, _tokenizer("word_bpe_49k.json"), end_id=2)
+        _table(spark, sf_dir, "documents"), folder, tokenizer_file("word_bpe_49k.json"), end_id=2)
     return grammar.read_shards(spark, folder)
 
 
@@ -66,7 +66,7 @@ def op6_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_differenced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
-        _table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=1)
+        _table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=1)
 
 
 def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
