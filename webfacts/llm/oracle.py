@@ -1,7 +1,136 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+Fingerprints, grammars, page markup, tokenization and compression are beyond
+SQL, and DuckDB has no CRC-32; tests/llm compares those queries with
+brute-force versions.
+"""
 
 from __future__ import annotations
 
+from webfacts.llm.mixing import OFFSETS
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+_SHINGLE_JOIN = rf"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+shingled AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 2), lambda i:
+            words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3]) END) AS grams
+    FROM cut),
+flat AS (SELECT doc_id, unnest(grams) AS gram FROM shingled),
+sizes AS (SELECT doc_id, len(grams) AS n, list_sort(grams) AS grams FROM shingled),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM flat a JOIN flat b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * c >= 85 * (a.n + b.n - c)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, root) AS (
+    SELECT doc_id, doc_id FROM sizes
+    UNION SELECT w.y, r.root FROM reached r JOIN ways w ON w.x = r.doc_id)
+SELECT s.doc_id, s.n::BIGINT AS n_shingles, min(r.root) AS component_id,
+    CASE WHEN s.n = 0 THEN 1 ELSE any_value(k.copies) END AS n_copies
+FROM sizes s JOIN reached r ON r.doc_id = s.doc_id
+JOIN (SELECT grams, count(*) AS copies FROM sizes GROUP BY grams) k ON k.grams = s.grams
+GROUP BY s.doc_id, s.n
+"""
+
+_CONTROL = r"(?:/?INST\]|/?ROLE[ \]]|/?s>)"
+
+_CHAT = rf"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+turns AS (
+    SELECT *, CASE role WHEN 'user' THEN '[INST] ' WHEN 'assistant' THEN ' ' ELSE
+            '[ROLE ' || replace(replace(role, '\', '\b'), ']', '\r') || '] ' END AS opening,
+        CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN '</s>' ELSE ' [/ROLE]' END AS closing,
+        regexp_replace(text, '([\[<])(\\*{_CONTROL})', '\1\\\2', 'g') AS guarded
+    FROM rows),
+chats AS (
+    SELECT *, bool_or(contains(text, closing) OR regexp_matches(text, '[\[<]\\+{_CONTROL}'))
+        OVER (PARTITION BY conv_id) AS escaped
+    FROM turns),
+whole AS (
+    SELECT conv_id, escaped, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+            FILTER (WHERE role = 'assistant'), '') AS loss,
+        sum(length(opening) + length(CASE WHEN escaped THEN guarded ELSE text END) + length(closing))
+            AS formatted_chars
+    FROM chats GROUP BY conv_id, escaped)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+    sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars, escaped
+FROM whole
+"""
+
+_SEARCH = """
+WITH weighted AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS weights
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.weights, r.weights)::BIGINT AS score
+    FROM weighted q JOIN weighted r ON q.vec_id % 50 = 0 AND r.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (
+    PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 5
+"""
+
+_MIXTURE = rf"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        coalesce('=' || source, '~') AS skey, md5('9|' || coalesce(doc_id::VARCHAR, '~')) AS hash
+    FROM documents),
+sources AS (
+    SELECT skey, source, sum(size)::BIGINT AS source_size FROM sized GROUP BY skey, source),
+weighed AS (
+    SELECT *, ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER] AS w,
+        source_size * 2.0::DOUBLE AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS total
+    FROM sources),
+levels AS (
+    SELECT *, cap / w AS rim,
+        (total - coalesce(sum(cap) OVER before, 0.0::DOUBLE))
+            / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+    FROM weighed
+    WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ended AS (
+    SELECT *, level * w >= cap AS is_full,
+        coalesce(arg_min(level, (rim, -level)) FILTER (WHERE NOT level * w >= cap) OVER (), 0.0) AS final
+    FROM levels),
+targets AS (
+    SELECT skey, source_size, CASE WHEN is_full THEN cap ELSE least(cap, final * w) END AS target FROM ended),
+ranked AS (
+    SELECT s.*, t.source_size, t.target,
+        CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
+        row_number() OVER (PARTITION BY s.skey ORDER BY
+            length(size::VARCHAR), substr(size::VARCHAR, 1, 2), hash, size) AS rank
+    FROM sized s JOIN targets t USING (skey)),
+draws AS (
+    SELECT skey, i, ('0x' || substr(md5('9|' || i || '|' || skey), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+    FROM sources, range({OFFSETS}) r(i)),
+tried AS (
+    SELECT r.skey, d.i, d.u, abs(sum((floor(u + rate * rank) - floor(u + rate * (rank - 1)))::BIGINT * size)
+        - any_value(target)) AS off
+    FROM ranked r JOIN draws d USING (skey) GROUP BY r.skey, d.i, d.u),
+chosen AS (SELECT skey, arg_min(u, (off, i)) AS u FROM tried GROUP BY skey)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+    (floor(u + rate * rank) - floor(u + rate * (rank - 1)))::BIGINT * size AS taken,
+    (floor(u + rate * rank) - floor(u + rate * (rank - 1)))::BIGINT AS copies, source
+FROM ranked JOIN chosen USING (skey)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_shingle_join": _SHINGLE_JOIN, "op5_chat_round_trip": _CHAT,
+        "op6_exact_search": _SEARCH, "op9_mixture": _MIXTURE}
