@@ -1,0 +1,71 @@
+from webfacts.llm.fingerprint import (
+    add_fingerprint, compare_neighbours, edited, fingerprint, likeness)
+
+WORDS = " ".join(f"word{i * 7919 % 1009}" for i in range(400))
+
+
+def distance_likeness(a, b):
+    table = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, table[0] = table[0], i + 1
+        for j, y in enumerate(b):
+            last, table[j + 1] = table[j + 1], last if x == y else 1 + min(table[j], table[j + 1])
+    return 1 - table[-1] / (len(a) + len(b))
+
+
+def test_likeness_is_the_edit_distance():
+    a, b = fingerprint(WORDS), fingerprint(WORDS[:1500] + "another end of it" + WORDS[1700:])
+    assert a.split(":")[0] == b.split(":")[0]
+    cut = lambda s: [s[i:i + 3] for i in range(0, len(s), 3)]
+    wanted = max(distance_likeness(cut(x), cut(y)) for x, y in zip(a.split(":")[1:], b.split(":")[1:]))
+    assert abs(likeness(a, b) - wanted) < 1e-12
+    assert 0.5 < likeness(a, b) < 1
+
+
+def test_bounds_and_order():
+    other = fingerprint(" ".join(f"thing{i * 31 % 997}" for i in range(400)))
+    assert likeness(fingerprint(WORDS), fingerprint(WORDS)) == 1
+    assert likeness(fingerprint(WORDS), other) < 0.1
+    assert likeness(fingerprint(WORDS), fingerprint(WORDS + " x")) > 0.9
+    assert likeness(fingerprint(WORDS), other) == likeness(other, fingerprint(WORDS))
+    assert fingerprint("") == "1::" and likeness("1::", "1::") == 1
+    assert likeness(fingerprint(""), fingerprint("a")) == 0
+    assert len(fingerprint("ab" * 100_000)) < 2000
+    assert likeness(fingerprint("a" * 99_999), fingerprint("a" * 100_000)) >= 0
+
+
+def test_edited():
+    assert edited("abcdefg", "XYZ") == "abcdeXY"
+    assert edited("abcdefghi", "X") == "abcdefX"
+    assert edited("ab", "XY") == "ab" and edited("", "XY") == ""
+
+
+def neighbours(spark, rows, ranges):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _part int, Fingerprint string")
+    return [(r["doc_id"], r["n_chars"], r["edited_fingerprint"], r["near_next"])
+            for r in compare_neighbours(docs, ranges=ranges).collect()]
+
+
+def test_ranges_do_not_matter(spark):
+    texts = [None, "", "short", WORDS, WORDS, WORDS[:900], "é" * 40, "x" * 200_000]
+    rows = [(i * 3, texts[i % 8], 0, "f") for i in range(57)] + [(None, "no id", 0, "f"), (9, "twin", 0, "f")]
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    wanted = []
+    for i, r in enumerate(order):
+        text, after = r[1] or "", order[(i + 1) % len(order)][1] or ""
+        wanted.append((r[0], len(text), fingerprint(edited(text, after)),
+                       likeness(fingerprint(text), fingerprint(after))))
+    for ranges in (1, 2, 7, 40):
+        assert sorted(neighbours(spark, rows, ranges), key=repr) == sorted(wanted, key=repr)
+
+
+def test_small_tables(spark):
+    assert neighbours(spark, [], 4) == []
+    assert neighbours(spark, [(5, "alone in here", 0, "")], 4) == [
+        (5, 13, fingerprint(edited("alone in here", "alone in here")), 1.0)]
+
+
+def test_column(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert [r["fingerprint"] for r in add_fingerprint(docs).orderBy("doc_id").collect()] == [
+        fingerprint("a b"), "1::"]

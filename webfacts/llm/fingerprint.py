@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,8 +128,6 @@ def edited(text: str, following: str) -> str:
 def add_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint of a text column; null texts are empty,
     a column of that name is replaced."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def prints(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t if isinstance(t, str) else "") for t in texts], dtype=object)
