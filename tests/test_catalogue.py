@@ -5,10 +5,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import DATA, plan_text
+from webfacts.plans import oracle, queries
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = {q.__name__: q for q in queries.CATALOGUE}, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +40,8 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_counterpart_has_a_query():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL.items()) <= set(entry_points.oracle_sql().items())
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"svm_predictions", "svm_grid", "page_facts"}
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from webfacts.operators import joins
@@ -25,19 +26,46 @@ def test_both_ways_agree(sides, how):
     assert sorted(map(tuple, salted.collect()), key=str) == rows
 
 
-def test_hot_key_is_cut_into_parts(sides):
-    big, small = sides
-    wide = big.withColumn("n", F.monotonically_increasing_id())
-    joined = joins.salted_join(wide, small, ["key"])
-    parts = F.pmod(joins.row_hash(wide), F.lit(joins.SALTS))
-    assert wide.where("key = 'hot'").select(parts).distinct().count() == joins.SALTS
-    assert joined.where("key = 'hot'").count() == 1000
+def test_rows_without_a_key_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        big = spark.range(4000).select(F.when(F.col("id") % 10 == 0, F.lit("k")).alias("key"), "id")
+        small = spark.createDataFrame([("k", 1)], "key string, w int")
+        left = joins.shuffled_join(big, small, ["key"], "left")
+        assert left.count() == 4000 and left.where("w = 1").count() == 400
+        parts = left.where("key IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert joins.shuffled_join(big, small, ["key"]).count() == 400
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_each_side_is_evaluated_once(spark, limit, how):
+    big_seen, small_seen = Observation(), Observation()
+    big = spark.range(2000).select((F.col("id") % 50).cast("string").alias("key")).observe(
+        big_seen, F.count(F.lit(1)).alias("n"))
+    small = spark.range(60).select(F.col("id").cast("string").alias("key"), F.lit(1).alias("w")).observe(
+        small_seen, F.count(F.lit(1)).alias("n"))
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            evaluated.add(batch.num_rows)
+            yield batch
+
+    counted = small.mapInArrow(seen, small.schema)
+    joined = joins.lookup_join(big.mapInArrow(seen, big.schema), counted, "key", how, limit=limit)
+    joined.write.format("noop").mode("overwrite").save()
+    assert evaluated.value == 2060
+    assert (big_seen.get["n"], small_seen.get["n"]) == (2000, 60)
 
 
 def test_small_side_is_broadcast_without_a_shuffle(sides):
     big, small = sides
     stored = joins.cut_lineage(small)
-    plan = joins.lookup_join(big, stored, "key", "left")._jdf.queryExecution().executedPlan().toString()
+    plan = joins.lookup_join(big, stored, "key", "left", stored=True)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "hashpartitioning" not in plan
 
@@ -47,6 +75,6 @@ def test_row_hash_sees_nulls(spark):
     assert rows.select(joins.row_hash(rows)).distinct().count() == 2
 
 
-def test_checkpoint_folder_is_taken_from_the_session(spark):
+def test_run_folder_is_in_the_checkpoint_folder(spark):
     assert joins.cut_lineage(spark.range(5)).count() == 5
     assert joins.shared_folder(spark).startswith(spark.sparkContext.getCheckpointDir())

@@ -5,7 +5,7 @@ from webfacts.operators import joins, results, scoring
 
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
 def test_result_lines(spark, limit, monkeypatch):
-    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", limit))
+    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", limit, False))
     rel = spark.createDataFrame([
         ("p1", "Cat", "Dog", "has cause", "P828"), ("p1", "Cat", "Emu", "x", "y"),
         ("p2", "Cat", "Dog", "x", "y"), ("p1", "Dog", "Nil", None, None), ("p1", "it's", "Dog", "r", "l")],

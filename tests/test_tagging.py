@@ -47,13 +47,13 @@ def test_single_words_in_text_order(spark, dictionary):
 def test_phrases_leftmost_longest(spark, dictionary):
     df = sentences(spark, "big cat food", "cat food cat", "big", "cat")
     assert {k: [e[0] for e in v] for k, v in entities(
-        tagging.tag_entities(df, dictionary, max_words=2)).items()} == {
+        tagging.tag_entities(df, dictionary)).items()} == {
         "p0": ["big cat", "food"], "p1": ["cat food", "cat"], "p2": [], "p3": ["cat"]}
 
 
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
 def test_copies_keep_their_number(spark, dictionary, limit, monkeypatch):
-    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", limit))
+    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", limit, False))
     one = sentences(spark, "cat here", "none here")
     copies = one
     for _ in range(5):

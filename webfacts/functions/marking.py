@@ -12,9 +12,15 @@ def mark_pair(text: Column, entities: Column) -> Column:
     """Mark up to two entities in ``text``; matching ignores case.
 
     The first is the one that starts first (the longest on a tie), the second
-    the one that starts first after its end. A text whose length changes when
-    lower-cased stays unmarked, as offsets would shift.
+    the one that starts first after its end. Characters whose lower-case form
+    is longer stay as they are in the comparison, as offsets would shift.
     """
+    def folded(whole: Column) -> Column:
+        def kept(ch: Column) -> Column:
+            return F.when(F.length(F.lower(ch)) == 1, F.lower(ch)).otherwise(ch)
+        return F.when(F.length(F.lower(whole)) == F.length(whole), F.lower(whole)).otherwise(
+            F.array_join(F.transform(F.split(whole, ""), kept), ""))
+
     def earliest(low: Column, names: Column, start: Column, skip: Column | None = None) -> Column:
         spans = F.transform(names, lambda e: F.struct(
             F.position(e, low, start).alias("at"), (-F.length(e)).alias("neg"), e.alias("name")))
@@ -40,13 +46,11 @@ def mark_pair(text: Column, entities: Column) -> Column:
             lambda found: with_second(first, end1, found)))
 
     def marked(low: Column, names: Column) -> Column:
-        return F.when(
-            (F.length(low) != F.length(text)) | (F.size(names) < 1), text
-        ).otherwise(let(
+        return F.when(text.isNull() | (F.size(names) < 1), text).otherwise(let(
             earliest(low, names, F.lit(1)), lambda first: with_first(low, names, first)))
 
     distinct = F.filter(F.array_distinct(entities), lambda e: e != "")
-    return let(F.lower(text), lambda low: let(distinct, lambda names: marked(low, names)))
+    return let(folded(text), lambda low: let(distinct, lambda names: marked(low, names)))
 
 
 def entity_texts(entity: Column) -> Column:

@@ -5,15 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is hot when it has more than 1/HOT_SHARE of the rows, so there are
-# fewer than HOT_SHARE hot keys and their list is always safe to broadcast.
-HOT_SHARE = 512
-SALTS = 32
+# Rows without a key are dealt to so many places; they match nothing anywhere.
+NULL_PLACES = 1 << 16
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -30,54 +30,70 @@ def text_bytes(df: DataFrame) -> int:
 
 def lookup_join(
     big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
-    limit: int = BROADCAST_BYTES,
+    limit: int = BROADCAST_BYTES, stored: bool = False,
 ) -> DataFrame:
     """Equi-join of ``big`` with a dictionary of any size.
 
-    The dictionary is broadcast when its measured size is within ``limit``;
-    then ``big`` is not shuffled. Otherwise both sides are shuffled, with hot
-    keys of ``big`` salted. ``how`` is ``inner``, ``left`` or ``left_semi``.
-    Measuring evaluates ``small`` once more, so it should be a stored table or
-    a checkpointed frame when it is costly.
+    The dictionary is stored first, so it is evaluated once and measured where
+    it lies; ``stored`` says that it already is a stored table. It is broadcast
+    when it is within ``limit``; then ``big`` is not shuffled. Otherwise both
+    sides are shuffled. ``how`` is ``inner``, ``left`` or ``left_semi``. Storing
+    and measuring run while the plan is made.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if text_bytes(small) <= limit:
-        return big.join(F.broadcast(small), on, how)
-    return salted_join(big, small, on, how)
+    table = small if stored else cut_lineage(small)
+    if text_bytes(table) <= limit:
+        return big.join(F.broadcast(table), on, how)
+    return shuffled_join(big, table, on, how)
 
 
-def salted_join(
+def shuffled_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Shuffle join in which every hot key of ``big`` is cut into ``salts`` parts.
+    """Shuffle join that evaluates both sides once.
 
-    The part of a row is a hash of the row, so a retried task sends it to the
-    same place. Only the rows of ``small`` with a hot key are copied.
+    Adaptive execution cuts the partitions of hot keys, by their measured
+    size. It cannot see that rows with a null key match nothing, so those are
+    spread by a hash of the row, or left out where the join drops them anyway.
     """
     on = list(on)
-    total = big.count()
-    hot = (big.groupBy(*on).count().where(F.col("count") > F.lit(total / HOT_SHARE))
-           .select(*on, F.lit(True).alias("_hot")))
-    part = F.pmod(row_hash(big), F.lit(salts)).cast("int")
-    left = (big.join(F.broadcast(hot), on, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), part).otherwise(F.lit(0))).drop("_hot"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0)))
-    right = (small.join(F.broadcast(hot), on, "left")
-             .withColumn("_salt", F.explode(copies)).drop("_hot"))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    keyless = reduce(or_, [F.col(c).isNull() for c in on])
+    if how != "left":
+        return big.where(~keyless).join(small, on, how)
+    place = F.when(keyless, F.pmod(row_hash(big), F.lit(NULL_PLACES)) + 1).otherwise(F.lit(0))
+    # Always 0, but no constant, which the optimizer would take out of the keys.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1))
+    return (big.withColumn("_place", place.cast("int"))
+            .join(small.withColumn("_place", zero.cast("int")), [*on, "_place"], how).drop("_place"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to reliable storage, where a lost executor cannot lose it."""
-    _checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame, written to the shared folder and read again.
+
+    A lost executor cannot lose it, only the columns asked for are read, and
+    its files go with the rest of the run.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the checkpoint folder, which all nodes share."""
-    return f"{_checkpoint_dir(spark)}/webfacts-{uuid.uuid4().hex}"
+    """A new folder, below the checkpoint folder that all nodes share, in the
+    folder of this run, which goes when the application ends."""
+    context = spark.sparkContext
+    run = _RUNS.get(context.applicationId)
+    if run is None:
+        run = f"{_checkpoint_dir(spark)}/webfacts-{uuid.uuid4().hex}"
+        place = context._jvm.org.apache.hadoop.fs.Path(run)
+        files = place.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _RUNS[context.applicationId] = run
+    return f"{run}/{uuid.uuid4().hex}"
+
+
+_RUNS: dict[str, str] = {}
 
 
 def _checkpoint_dir(spark: SparkSession) -> str:
@@ -89,7 +105,8 @@ def _checkpoint_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not context.master.startswith("local"):
+            master = context.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all nodes share")
             folder = tempfile.mkdtemp(prefix="webfacts-checkpoint-")
         context.setCheckpointDir(folder)

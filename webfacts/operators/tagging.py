@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from webfacts.constants import IGNORED_LABELS
 from webfacts.functions import marking as M
-from webfacts.operators.joins import lookup_join, row_hash
+from webfacts.operators.joins import cut_lineage, lookup_join, row_hash
 
 ENTITY_TYPE = "array<struct<text:string,label:string,`pos-tags`:string>>"
 
@@ -73,19 +73,23 @@ def _leftmost_longest(hits: Column) -> Column:
 
 def tag_entities(
     df: DataFrame, gazetteer: DataFrame, key: Sequence[str] = ("id", "sent_no"),
-    max_words: int = 1, mentioned_only: bool = False,
+    max_words: int | None = None, mentioned_only: bool = False,
 ) -> DataFrame:
     """Add ``entity`` (texts, labels, tags in text order) to cleaned sentences.
 
-    ``gazetteer`` comes from ``prepare_gazetteer``. Each word of ``text`` starts
-    up to ``max_words`` n-grams, which probe the dictionary by a hash join.
-    Only hits go on, and the first n-gram of each sentence, which alone
-    carries the sentence itself: one scan and one shuffle of the sentences, no
-    join back. Equal rows meet in one group and come out as often as they
+    ``gazetteer`` comes from ``prepare_gazetteer``; it is stored here, and its
+    longest alias tells how many words an n-gram may have (``max_words``
+    restricts that). Each word of ``text`` starts n-grams, which probe the
+    dictionary by a hash join. The first n-gram of each sentence alone carries
+    the sentence itself, and only it and hits go on: one scan and one shuffle
+    of the sentences, no join back. Equal rows meet in one group and come out as often as they
     went in, so copies cost nothing. ``mentioned_only`` leaves out sentences
     without an entity.
     """
     key = list(key)
+    gazetteer = cut_lineage(gazetteer)
+    longest = gazetteer.agg(F.max("n_words")).first()[0] or 1
+    max_words = min(longest, max_words or longest)
     grams = df.select(
         *key, row_hash(df).alias("_copy"),
         F.struct(*df.columns).alias("_row"),
@@ -105,10 +109,11 @@ def tag_entities(
         F.col("_at").alias("at"), (-F.col("_n")).alias("neg"),
         F.struct(F.col("alias").alias("text"), "label",
                  F.col("pos_tags").alias("pos-tags")).alias("entity"))
+    probes = grams.withColumn("_row", F.when(is_first, F.col("_row"))).drop("_words", "_word")
     slim = (
-        lookup_join(grams.drop("_words", "_word"), gazetteer, "alias", "left")
+        lookup_join(probes, gazetteer, "alias", "left", stored=True)
         .where(is_first | is_hit)
-        .select(*key, "_copy", F.when(is_first, F.col("_row")).alias("_row"),
+        .select(*key, "_copy", "_row",
                 F.when(is_hit, hit).alias("_hit"), is_first.cast("long").alias("_first")))
     grouped = slim.groupBy(*key, "_copy").agg(
         F.first("_row", ignorenulls=True).alias("_row"),

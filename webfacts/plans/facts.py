@@ -10,7 +10,7 @@ from webfacts.operators import linking, model, pages, results, tagging
 
 def tag_and_mark(
     sentences: DataFrame, gazetteer: DataFrame, lexicon: DataFrame | None = None,
-    max_words: int = 1, mentioned_only: bool = False,
+    max_words: int | None = None, mentioned_only: bool = False,
 ) -> DataFrame:
     """``(id, sent_no, org_text, text)`` to the tagged and marked sentence table."""
     dictionary = tagging.prepare_gazetteer(gazetteer, lexicon)
@@ -20,7 +20,7 @@ def tag_and_mark(
 
 def sentence_table(
     records: DataFrame, gazetteer: DataFrame, lexicon: DataFrame | None = None,
-    anchor: str = "line", max_words: int = 1,
+    anchor: str = "line", max_words: int | None = None,
 ) -> DataFrame:
     """Archive records to the tagged and marked sentence table."""
     return tag_and_mark(pages.page_sentences(records, anchor), gazetteer, lexicon, max_words)

@@ -121,7 +121,7 @@ def appended_lines(spark, sf):
 def _tagged_phrases(spark, sf):
     return facts.tag_and_mark(
         inputs.doc_sentences(spark, sf), inputs.phrase_gazetteer(spark, sf),
-        inputs.lexicon(spark, sf), max_words=2)
+        inputs.lexicon(spark, sf))
 
 
 def entities_flat(spark, sf):

@@ -11,11 +11,14 @@ from webfacts.constants import RECORD_MARK
 
 CRLF_SEPARATOR = f"\n{RECORD_MARK}\r\n"
 LF_SEPARATOR = f"\n{RECORD_MARK}\n"
+# Stands for a genuine replacement character while bad bytes become one.
+_GENUINE = "\ufdd0\ufdd1\ufdd0"
 
 
 def valid_text(c: Column) -> Column:
-    """Text without its undecodable bytes."""
-    repaired = F.replace(F.make_valid_utf8(c), F.lit("�"), F.lit(""))
+    """Text without its undecodable bytes; genuine replacement characters stay."""
+    bad = F.make_valid_utf8(F.replace(c, F.lit("\ufffd"), F.lit(_GENUINE)))
+    repaired = F.replace(F.replace(bad, F.lit("\ufffd"), F.lit("")), F.lit(_GENUINE), F.lit("\ufffd"))
     return F.when(F.is_valid_utf8(c), c).otherwise(repaired)
 
 
@@ -39,17 +42,26 @@ def records(chunks: DataFrame) -> DataFrame:
         F.explode(record_payloads(F.col("value"))).alias("payload"))
 
 
+def find_separator(spark: SparkSession, paths: str | Sequence[str]) -> str:
+    """Separator for the line ends of the first line, which alone is read."""
+    line = spark.read.option("lineSep", "\n").text(paths).first()
+    crlf = line is not None and line["value"].endswith("\r")
+    return CRLF_SEPARATOR if crlf else LF_SEPARATOR
+
+
 def read_warc(
     spark: SparkSession, paths: str | Sequence[str],
-    line_sep: str = CRLF_SEPARATOR, spread: int | None = None,
+    line_sep: str | None = None, spread: int | None = None,
 ) -> DataFrame:
     """Archive files (plain or gzip) to ``(path, payload)`` rows.
 
     The text reader cuts at ``line_sep``, so one record and not one file is
-    held at a time; give ``LF_SEPARATOR`` for archives with bare line feeds.
+    held at a time. Without one it is the mark's line with the line end that the
+    first line of the first file has; files of the other kind among them come out
+    right too, but are held whole.
     Line ends become ``\\n`` and do not stay at the end of a payload. A gzip
     file is one task: scale comes from many files. ``spread`` shuffles the
     records over that many partitions, for few and large files.
     """
-    out = records(spark.read.option("lineSep", line_sep).text(paths))
+    out = records(spark.read.option("lineSep", line_sep or find_separator(spark, paths)).text(paths))
     return out.repartition(spread) if spread else out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 # Quotes are doubled inside quoted fields.
@@ -60,11 +61,15 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(line_at, value)``; ``line_at`` orders the lines of the input.
 
-    Position is file, split start, then arrival within the split, so that
-    "the last line wins" means the same however the file is cut.
+    Position is run (see ``write_lines``), file, split start, then arrival
+    within the split, so that "the last line wins" means the same however the
+    file is cut.
     """
-    return spark.read.text(path).select(
+    lines = spark.read.text(path)
+    run = F.col("run").cast("int") if "run" in lines.columns else F.lit(-1)
+    return lines.select(
         F.struct(
+            run.alias("run"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq")).alias("line_at"),
@@ -105,8 +110,21 @@ def read_blocks(spark: SparkSession, path: str, line_end: str = "\n") -> DataFra
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A ``value`` column as text; ``mode="append"`` adds to earlier runs."""
-    lines.select("value").write.mode(mode).text(path)
+    """A ``value`` column as text, in a folder ``run=0``; ``mode="append"`` adds
+    the next run, whose lines come after those of earlier ones.
+
+    One writer at a time: the number of a run follows those that are there.
+    """
+    run = 0
+    if mode == "append":
+        try:
+            there = lines.sparkSession.read.text(path)
+        except AnalysisException:
+            there = None
+        if there is not None and "run" in there.columns:
+            last = there.agg(F.max("run")).first()[0]
+            run = 0 if last is None else int(last) + 1
+    lines.select("value", F.lit(run).alias("run")).write.partitionBy("run").mode(mode).text(path)
 
 
 # --- link table ------------------------------------------------------------
