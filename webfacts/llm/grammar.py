@@ -40,72 +40,68 @@ LEAST_COUNT = 24
 PAIRS_PER_ROUND = 4000
 ROUNDS = 4
 _TEXTS_AT_ONCE = 256
-_BUCKET_BITS = 20
+_BUCKET_BITS = 19
 
 FILE_SCHEMA = (
     "part int, shard int, before long, doc_ids array<long>, n_tokens array<long>, "
     "symbols array<long>, rules binary, lengths binary, sequence binary, width int, first_new long")
 
 
-def _frequent_pairs(left: np.ndarray, right: np.ndarray, least: int, most: int) -> np.ndarray:
-    """The most frequent pairs, as ``left << 32 | right``, best first.
-
-    Counts in hash buckets first: a pair can only be frequent in a full bucket,
-    so few pairs have to be sorted.
-    """
-    mixed = (left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))
-    bucket = mixed >> np.uint32(32 - _BUCKET_BITS)
-    heavy = np.bincount(bucket, minlength=1 << _BUCKET_BITS)[bucket] >= least
-    pairs = (left[heavy].astype(np.uint64) << np.uint64(32)) | right[heavy]
-    kinds, counts = np.unique(pairs, return_counts=True)
-    kinds, counts = kinds[counts >= least], counts[counts >= least]
-    return kinds[np.argsort(-counts, kind="stable")[:most]]
-
-
 def compress(
     ids: np.ndarray, sizes: np.ndarray, first_new: int, least: int = LEAST_COUNT,
     per_round: int = PAIRS_PER_ROUND, rounds: int = ROUNDS,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(sequence, symbols per document, rules)`` of documents of ``sizes`` ids.
 
-    In a round, places where chosen pairs overlap go to the more frequent pair,
-    and among equals to the left one.
+    Pairs are counted without sorting, one kind for each hash bucket; a kind that
+    loses its bucket to another has a chance in the next round. In a round,
+    places where chosen pairs overlap go to the more frequent pair, and among
+    equals to the left one.
     """
     sequence = ids.astype(np.uint32)
-    document = np.repeat(np.arange(len(sizes)), sizes)
+    closes = np.zeros(len(sequence), dtype=bool)
+    closes[np.cumsum(sizes) - 1] = True
     rules: list[np.ndarray] = []
     known = 0
+    kind = np.zeros(1 << _BUCKET_BITS, dtype=np.uint64)
+    none = np.int32(per_round)
     for _ in range(rounds):
         if len(sequence) < 2:
             break
-        inside = document[:-1] == document[1:]
-        chosen = _frequent_pairs(sequence[:-1][inside], sequence[1:][inside], least, per_round)
-        if not len(chosen):
+        left, right = sequence[:-1], sequence[1:]
+        bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(
+            32 - _BUCKET_BITS)
+        pairs = (left.astype(np.uint64) << np.uint64(32)) | right
+        inside = ~closes[:-1]
+        kind[bucket] = pairs
+        same = (kind[bucket] == pairs) & inside
+        counts = np.bincount(bucket[same], minlength=len(kind))
+        often = np.flatnonzero(counts >= least)
+        if not len(often):
             break
-        pairs = (sequence[:-1].astype(np.uint64) << np.uint64(32)) | sequence[1:]
-        by_value = np.argsort(chosen)
-        at = np.searchsorted(chosen[by_value], pairs)
-        at[at == len(chosen)] = 0
-        rank = np.full(len(sequence) + 1, len(chosen), dtype=np.int64)
-        hit = (chosen[by_value][at] == pairs) & inside
-        rank[1:-1][hit] = by_value[at[hit]]
+        often = often[np.argsort(-counts[often], kind="stable")[:per_round]]
+        order = np.full(len(kind), none, dtype=np.int32)
+        order[often] = np.arange(len(often), dtype=np.int32)
+        rank = np.full(len(sequence) + 1, none, dtype=np.int32)
+        rank[1:-1] = np.where(same, order[bucket], none)
         here = rank[1:-1]
-        place = np.flatnonzero((here < len(chosen)) & (here < rank[:-2]) & (here <= rank[2:]))
-        used = np.bincount(here[place], minlength=len(chosen))
+        place = np.flatnonzero((here < none) & (here < rank[:-2]) & (here <= rank[2:]))
+        used = np.bincount(here[place], minlength=len(often))
         worth = used >= 2
         place = place[worth[here[place]]]
         if not len(place):
             break
         number = np.cumsum(worth) - 1
-        rules.append(chosen[worth])
+        rules.append(kind[often][worth])
         sequence[place] = (first_new + known + number[here[place]]).astype(np.uint32)
         known += int(worth.sum())
+        closes[place] = closes[place + 1]
         keep = np.ones(len(sequence), dtype=bool)
         keep[place + 1] = False
-        sequence, document = sequence[keep], document[keep]
+        sequence, closes = sequence[keep], closes[keep]
     flat = np.concatenate(rules) if rules else np.empty(0, dtype=np.uint64)
     pairs = np.column_stack([flat >> np.uint64(32), flat & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
-    return sequence, np.bincount(document, minlength=len(sizes)), pairs
+    return sequence, np.diff(np.flatnonzero(closes), prepend=-1), pairs
 
 
 def expansion_lengths(rules: np.ndarray, first_new: int) -> np.ndarray:
@@ -119,17 +115,31 @@ def expansion_lengths(rules: np.ndarray, first_new: int) -> np.ndarray:
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first_new: int) -> np.ndarray:
     """The ids a row of symbols stands for."""
-    symbols = symbols.astype(np.uint32)
-    while True:
-        new = symbols >= first_new
-        if not new.any():
-            return symbols
-        size = 1 + new.astype(np.int64)
-        at = np.cumsum(size) - size
-        out = np.repeat(symbols, size)
-        pair = rules[symbols[new] - np.uint32(first_new)]
-        out[at[new]], out[at[new] + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
+    symbols = symbols.astype(np.int64)
+    new = symbols >= first_new
+    if not new.any():
+        return symbols.astype(np.uint32)
+    # The ids of each new symbol, one after the other; a rule refers to earlier ones.
+    texts: list[list[int]] = []
+    for left, right in rules[:int(symbols.max()) - first_new + 1].tolist():
+        texts.append((texts[left - first_new] if left >= first_new else [left])
+                     + (texts[right - first_new] if right >= first_new else [right]))
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    flat = np.array([i for t in texts for i in t], dtype=np.uint32)
+    begins = np.cumsum(sizes) - sizes
+    size = np.ones(len(symbols), dtype=np.int64)
+    size[new] = sizes[symbols[new] - first_new]
+    at = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), dtype=np.uint32)
+    out[at[~new]] = symbols[~new]
+    which, where, many = symbols[new] - first_new, at[new], size[new]
+    while len(which):
+        # One id of every symbol that has that many, from the last to the first.
+        many = many - 1
+        out[where + many] = flat[begins[which] + many]
+        left_over = many > 0
+        which, where, many = which[left_over], where[left_over], many[left_over]
+    return out
 
 
 class Shard:
