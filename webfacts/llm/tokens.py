@@ -8,25 +8,34 @@ that. Texts whose white space the quick cut does not cover are encoded whole.
 from __future__ import annotations
 
 import re
+import string
+import unicodedata
 from collections.abc import Iterable
 
 import numpy as np
 
 # White space beyond blank and line feed, or two of these in a row.
 _ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-_GROUP = 256
+_GROUP = 1024
+# Upper case whose lower case depends on its neighbours, or is longer.
+_ODD_CASE = re.compile("[\u03a3\u0130]")
+_MARKS = string.punctuation
 
 
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
     ``blanks=True`` is for byte-level vocabularies whose tokens begin with the
-    blank before a word, ``blanks=False`` for those that drop white space.
-    ``cache_words`` bounds the memory, not the result: a full cache is emptied.
-    Strings of special tokens inside a text are ordinary text.
+    blank before a word, ``blanks=False`` for those that drop white space and
+    case. ``cache_words`` bounds the memory, not the result: a full cache is
+    emptied. Strings of special tokens inside a text are ordinary text.
+
+    A word is looked up as it stands. One not seen before is made of its letters
+    and the marks after them, between which both pre-tokenizers cut; so
+    "word", "word," and "word." are encoded once.
     """
 
-    def __init__(self, path: str, blanks: bool, cache_words: int = 400_000):
+    def __init__(self, path: str, blanks: bool, cache_words: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -34,12 +43,15 @@ class WordEncoder:
         self.blanks = blanks
         self.cache_words = cache_words
         self.cache: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _words(self, text: str) -> list[str] | None:
         if _ODD_SPACE.search(text):
             return None
         if not self.blanks:
-            return text.split()
+            if not text.isascii() and (_ODD_CASE.search(text) or not unicodedata.is_normalized("NFC", text)):
+                return text.split()
+            return text.lower().split()
         if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
             return None
         # A word after a blank is known by its bare form; one that begins the
@@ -55,6 +67,23 @@ class WordEncoder:
         words = list(words)
         if len(self.cache) + len(words) > self.cache_words:
             self.cache.clear()
+        if len(self.parts) + len(words) > self.cache_words:
+            self.parts.clear()
+        cut = []
+        for word in words:
+            core = word.rstrip(_MARKS)
+            # Only after a letter is a mark sure to begin a piece of its own.
+            cut.append((core, word[len(core):]) if core and core[-1].isalpha() else (word, ""))
+        # Marks stand without a blank; the letter before them keeps them so.
+        new = {c for c, _ in cut if c not in self.parts}
+        new.update("a" + m for _, m in cut if m and "a" + m not in self.parts)
+        self._learn_parts(list(new))
+        letter = len(self.parts.get("a") or self._learn_parts(["a"]) or self.parts["a"])
+        parts, cache = self.parts, self.cache
+        for word, (core, marks) in zip(words, cut):
+            cache[word] = parts[core] + parts["a" + marks][letter:] if marks else parts[core]
+
+    def _learn_parts(self, words: list[str]) -> None:
         for i in range(0, len(words), _GROUP):
             group = words[i:i + _GROUP]
             # The words in a row, as they would stand in a text.
@@ -62,50 +91,47 @@ class WordEncoder:
                 w + " " for w in group]
             begins = np.cumsum([0] + [len(w) for w in shown[:-1]])
             encoded = self.tokenizer.encode("".join(shown), add_special_tokens=False)
-            at = np.array([o[0] for o in encoded.offsets], dtype=np.int64)
-            word = np.searchsorted(begins, at, side="right") - 1
-            ends = np.cumsum(np.bincount(word, minlength=len(group))) * 4
+            at = np.fromiter((o[0] for o in encoded.offsets), dtype=np.int64, count=len(encoded))
+            ends = (np.searchsorted(at, np.append(begins[1:], 1 << 62)) * 4).tolist()
             ids = np.asarray(encoded.ids, dtype="<u4").tobytes()
             start = 0
-            for w, end in zip(group, ends.tolist()):
-                self.cache[w] = ids[start:end]
+            for w, end in zip(group, ends):
+                self.parts[w] = ids[start:end]
                 start = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
-        out: list[bytes | None] = [None] * len(texts)
-        cut: list[list[str] | None] = [self._words(t) if t else [] for t in texts]
-        waiting = []
+        found: list[list[bytes | None] | None] = []
+        words_of: list[list[str]] = []
+        get = self.cache.get
         unknown: set[str] = set()
-        firsts: dict[int, bytes] = {}
-        for i, (text, words) in enumerate(zip(texts, cut)):
+        gaps: dict[int, list[int]] = {}
+        for i, text in enumerate(texts):
+            words = self._words(text) if text else []
             if words is None:
-                out[i] = self._whole(text)
-            elif not words:
-                out[i] = b""
-            else:
-                if self.blanks:
-                    firsts[i] = self._whole(words[0])
-                    words = words[1:]
-                    cut[i] = words
-                found = list(map(self.cache.get, words))
-                if None in found:
-                    unknown.update(w for w, f in zip(words, found) if f is None)
-                    waiting.append(i)
-                else:
-                    out[i] = firsts.get(i, b"") + b"".join(found)
-        if unknown:
-            if len(unknown) > self.cache_words:
-                for i in waiting:
-                    out[i] = self._whole(texts[i])
-                return out
+                words_of.append([])
+                found.append([self._whole(text)])
+                continue
+            one = list(map(get, words))
+            if self.blanks and words:
+                # The first word of a text has no blank before it.
+                one[0] = self._whole(words[0])
+            missing = [j for j, ids in enumerate(one) if ids is None]
+            if missing:
+                gaps[i] = missing
+                unknown.update([words[j] for j in missing])
+            words_of.append(words)
+            found.append(one)
+        if len(unknown) > self.cache_words:
+            for i in gaps:
+                found[i] = [self._whole(texts[i])]
+        elif unknown:
             self._learn(unknown)
-            for i in waiting:
-                words = cut[i]
-                found = list(map(self.cache.get, words))
-                out[i] = (firsts.get(i, b"") + b"".join(found) if None not in found
-                          else self._whole(texts[i]))
-        return out
+            for i, missing in gaps.items():
+                words, one = words_of[i], found[i]
+                for j in missing:
+                    one[j] = self.cache[words[j]]
+        return list(map(b"".join, found))
 
 
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
