@@ -1,0 +1,63 @@
+import random
+
+import pytest
+
+from webfacts.llm import langid
+
+WORDS = {
+    "en": "the and of that with have this from they would there their what about which".split(),
+    "de": "der und die nicht auch einer werden haben sich oder wurde zwischen schon immer".split(),
+    "fr": "les des une dans pour qui avec sur plus pas cette sont comme mais tout".split()}
+
+
+def texts(lang, n, words, seed=0):
+    rng = random.Random(f"{lang}{seed}")
+    return [" ".join(rng.choice(WORDS[lang]) for _ in range(words)) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def known(spark):
+    rows = [(i, t, lang) for lang in WORDS for i, t in enumerate(texts(lang, 60, 40))]
+    rows += [(900, None, "en"), (901, "", "de"), (902, "no label", None)]
+    return langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=20)
+
+
+def test_held_out_accuracy(spark, known):
+    assert set(known) == set(WORDS)
+    rows = [(t, lang) for lang in WORDS for t in texts(lang, 40, 12, seed=1)]
+    found = langid.identify(spark.createDataFrame(rows, "text string, truth string"), known).collect()
+    assert sum(r["lang_pred"] == r["truth"] for r in found) >= 0.97 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_case_and_marks_do_not_matter(spark, known):
+    text = texts("de", 1, 30, seed=2)[0]
+    rows = [(text,), (text.upper(),), (text.replace(" ", "!! ") + "!!",)]
+    found = langid.identify(spark.createDataFrame(rows, "text string"), known).collect()
+    assert [r["lang_pred"] for r in found] == ["de"] * 3
+
+
+def test_odd_rows(spark, known):
+    rows = [(None, 1), ("", 2), ("123 !? \n", 3), (texts("fr", 1, 60_000, seed=3)[0], 4), ("½ ²", 5)]
+    docs = spark.createDataFrame([(*r, "x", True) for r in rows], "text string, n int, Lang_Pred string, rejected boolean")
+    found = sorted(langid.identify(docs, known).collect(), key=lambda r: r["n"])
+    assert found[0].asDict().keys() == {"text", "n", "lang_pred", "score", "rejected"}
+    assert [(r["lang_pred"], r["score"], r["rejected"]) for r in found if r["n"] != 4] == [("und", 0.0, True)] * 4
+    assert found[3]["lang_pred"] == "fr" and not found[3]["rejected"]
+    assert langid.identify(docs.where("false"), known).collect() == []
+
+
+def test_nothing_learned_and_one_language(spark, known):
+    docs = spark.createDataFrame([("some words",)], "text string")
+    nothing = langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
+    assert nothing == {}
+    assert tuple(langid.identify(docs, nothing).first())[1:] == ("und", 0.0, True)
+    assert tuple(langid.identify(docs, {"en": known["en"]}).first())[1:] == ("en", 1.0, False)
+
+
+def test_fit_is_bounded_and_repeatable(spark):
+    rows = [(i, "word " * 4000, "en" if i % 10 else "de") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one = langid.fit(docs, rows=20, characters=100)
+    assert max(map(len, one.values())) <= 20 * 101
+    assert one == langid.fit(docs.repartition(7), rows=20, characters=100)
