@@ -18,7 +18,7 @@ from webfacts.plans import queries
 HEADLINE = [
     "page_sentences", "clean_sentences", "entities_flat", "entity_arrays", "marked_pairs",
     "label_containment", "kb_candidates", "entity_links", "connecting_paths", "tfidf_words",
-    "result_lines", "score_entities",
+    "result_lines", "score_entities", "feature_paths", "tfidf_bigrams", "svm_predictions", "page_facts",
 ]
 
 

@@ -134,8 +134,20 @@ def test_blocks_to_classes(spark):
 
 
 def test_tuning(spark):
-    got = model.tune_relations(labelled(spark, 18), grid=(1.0, 100.0), folds=2, max_iter=3).collect()
+    rows = labelled(spark, 18)
+    tuned = model.tune_relations(rows, grid=(1.0, 100.0), folds=2, max_iter=3)
+    got = tuned.scores.collect()
     assert [r["c"] for r in got] == [1.0, 100.0] and all(0 <= r["score"] <= 1 for r in got)
+    assert model.evaluate(model.predict_relations(rows, tuned.best), tuned.best) > 0.5
+
+
+def test_rows_with_one_id_are_scored_once(spark):
+    rows = labelled(spark, 12)
+    fitted = model.fit_relations(rows, max_iter=10)
+    once = {r[model.ROW]: r["preds"] for r in model.predict_relations(rows, fitted).collect()}
+    thrice = model.predict_relations(rows.unionAll(rows).unionAll(rows), fitted).collect()
+    assert len(thrice) == 3 * len(once)
+    assert all(r["preds"] == once[r[model.ROW]] for r in thrice)
 
 
 def test_append(spark):

@@ -14,7 +14,6 @@ from webfacts.functions.text import term_counts, terms
 from webfacts.operators.joins import cut_lineage, lookup_join
 
 Branch = tuple[str, str, str]
-ID_BUCKETS = 64
 
 
 def fill_missing(df: DataFrame, columns: Sequence[str] = tuple(NAN_COLUMNS)) -> DataFrame:
@@ -63,10 +62,11 @@ def tfidf(df: DataFrame, row: str, branches: Sequence[Branch]) -> DataFrame:
 def number_terms(idf: DataFrame) -> DataFrame:
     """Add ``idx``, 0 … n-1 without gaps, numbered in parallel.
 
-    Terms are numbered within hash buckets; each bucket starts where the ones
-    before end, a running sum over ``ID_BUCKETS`` rows.
+    Terms are numbered within hash buckets, four for each shuffle partition; each
+    bucket starts where the ones before end.
     """
-    bucketed = idf.withColumn("_b", F.pmod(F.xxhash64("branch", "term"), F.lit(ID_BUCKETS)))
+    buckets = 4 * int(idf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = idf.withColumn("_b", F.pmod(F.xxhash64("branch", "term"), F.lit(buckets)))
     sizes = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     earlier = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from webfacts.functions import marking as M
 from webfacts.functions.text import strip
 from webfacts.operators.joins import cut_lineage
-from webfacts.operators.paths import connecting_paths
+from webfacts.operators.paths import connecting_paths, token_edges, token_lists
 
 # Column order of a feature row.
 FEATURE_COLUMNS = [
@@ -93,19 +93,30 @@ def add_paths(df: DataFrame, edges: DataFrame, sent_id: str = "sent_id") -> Data
             .drop("source", "target"))
 
 
-def relation_features(df: DataFrame, training: bool = False) -> DataFrame:
-    """Feature rows, as one projection.
+def relation_features(
+    df: DataFrame, training: bool = False, tokens: DataFrame | None = None, sent_id: str = "sent_id",
+) -> DataFrame:
+    """Feature rows.
 
     Prediction rows come from ``relation_candidates``. Training rows have
-    ``input_sentence``, ``input_relation``, an ``entity`` array matched exactly,
-    and optionally a ``parse_list`` for tags. Without ``shortest_path`` (see
-    ``add_paths``) that column is ``''``.
+    ``input_sentence``, ``input_relation`` and an ``entity`` array matched
+    exactly. ``tokens(sent_id, pos, head, token, tag, dep)`` are the parsed
+    words of the sentences, which the column ``sent_id`` of the rows names: they
+    give the path between the entities and, in training, their tags. It is
+    read several times, so a stored table is best. Without it the path is ``''`` and
+    training tags are missing.
     """
     rows = df if training else df.withColumns({
         "input_sentence": F.col("labeled_text"), "input_relation": F.lit(None).cast("string")})
     if "id" not in rows.columns:
         rows = rows.withColumn("id", F.lit(None).cast("string"))
-    rows = add_types(split_marked(rows), exact=training)
+    rows = split_marked(rows)
+    if tokens is not None:
+        rows = add_paths(rows, token_edges(tokens), sent_id)
+        if training:
+            lists = token_lists(tokens).withColumnRenamed("sent_id", sent_id)
+            rows = rows.join(lists, sent_id, "left")
+    rows = add_types(rows, exact=training)
     if training and "parse_list" in rows.columns:
         rows = add_token_tags(rows)
     elif training:
@@ -115,5 +126,4 @@ def relation_features(df: DataFrame, training: bool = False) -> DataFrame:
         {"relation": missing, "direction": missing})
     if "shortest_path" not in rows.columns:
         rows = rows.withColumn("shortest_path", F.lit(""))
-    extra = [c for c in ("parse_list",) if c in rows.columns]
-    return rows.select(*FEATURE_COLUMNS, "shortest_path", *extra)
+    return rows.select(*FEATURE_COLUMNS, "shortest_path")

@@ -29,12 +29,14 @@ def sentence_table(
 def fact_lines(
     tagged: DataFrame, kb: DataFrame, relation_model: model.RelationModel,
     dictionary: DataFrame, index: linking.Index | None = None,
+    tokens: DataFrame | None = None,
 ) -> DataFrame:
     """Tagged sentences to result lines: links, relations and their assembly.
 
     ``tagged`` is read for links and for relations; give a stored table when
-    tagging is expensive.
+    tagging is expensive. ``tokens`` are the parsed words of its sentences, see
+    ``model.extract_relations``.
     """
     links = linking.link_entities(tagged, kb, index)
-    relations = model.extract_relations(tagged, relation_model, dictionary)
+    relations = model.extract_relations(tagged, relation_model, dictionary, tokens)
     return results.result_lines(relations, links).select(F.col("value"))

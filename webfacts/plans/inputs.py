@@ -5,34 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webfacts.constants import RELATION_DICTIONARY
 from webfacts.functions import text as T
 from webfacts.operators import model, pages, relations
+from webfacts.operators.joins import cut_lineage
 from webfacts.plans.facts import tag_and_mark
 from webfacts.sources import files
 
-# Relation labels of the classifier with name and link. Fixed values; trailing
-# blanks belong to the names.
-RELATION_DICTIONARY = [
-    ("Cause-Effect e1,e2", "has cause", "https://www.wikidata.org/wiki/Property:P828"),
-    ("Cause-Effect e2,e1", "has effect ", "https://www.wikidata.org/wiki/Property:P1542"),
-    ("Component-Whole e1,e2", "part of", "https://www.wikidata.org/wiki/Property:P361"),
-    ("Component-Whole e2,e1", "consist of", "https://www.wikidata.org/wiki/Q55692548"),
-    ("Content-Container e1,e2", "content", "https://www.wikidata.org/wiki/Q1260632"),
-    ("Content-Container e2,e1", "container", "https://www.wikidata.org/wiki/Q987767"),
-    ("Entity-Destination e1,e2", "entity", "https://www.wikidata.org/wiki/Q35120"),
-    ("Entity-Destination e2,e1", "destination point ", "https://www.wikidata.org/wiki/Property:P1444"),
-    ("Entity-Origin e1,e2", "entity", "https://www.wikidata.org/wiki/Q35120"),
-    ("Entity-Origin e2,e1", "origin", "https://www.wikidata.org/wiki/Q3885844"),
-    ("Instrument-Agency e1,e2", "instrument", "https://www.wikidata.org/wiki/Property:P1303"),
-    ("Instrument-Agency e2,e1", "agency", "https://www.wikidata.org/wiki/Q352450"),
-    ("Member-Collection e1,e2", "member", "https://www.wikidata.org/wiki/Q9200127"),
-    ("Member-Collection e2,e1", "collection", "https://www.wikidata.org/wiki/Q2668072"),
-    ("Message-Topic e1,e2", "message", "https://www.wikidata.org/wiki/Q628523"),
-    ("Message-Topic e2,e1", "topic", "https://www.wikidata.org/wiki/Q200801"),
-    ("Product-Producer e1,e2", "product", "https://www.wikidata.org/wiki/Q2424752"),
-    ("Product-Producer e2,e1", "producer", "https://www.wikidata.org/wiki/Property:P162"),
-    ("Other nan", None, None),
-]
+# Classes and intercepts of the classifier that is made by rule.
+RULED_LABELS = ["Cause-Effect e1,e2", "Cause-Effect e2,e1", "Other nan"]
+RULED_INTERCEPTS = [0.05, -0.05, 0.0]
 
 KNOWN_RELATIONS = [
     ("owned by", "https://kb.example.org/a", "https://kb.example.org/b", "https://kb.example.org/r1"),
@@ -130,12 +112,12 @@ def label_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         title(F.col("html")).alias("label"), "url", "page_id")
 
 
-def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A parsed-token table: the words of every sentence of four or more, each
-    hanging on the word at half its position."""
+def parsed(sentences: DataFrame) -> DataFrame:
+    """A parsed-token table of ``(id, sent_no, text)``: the words of every
+    sentence of four or more, each hanging on the word at half its position."""
     words = F.split("text", " ")
     return (
-        doc_sentences(spark, sf_dir).where((F.col("text") != "") & (F.size(words) >= 4))
+        sentences.where((F.col("text") != "") & (F.size(words) >= 4))
         .select(F.concat_ws("-", "id", "sent_no").alias("sent_id"),
                 F.posexplode(words).alias("at", "token"))
         .select("sent_id", (F.col("at") + 1).alias("pos"),
@@ -144,6 +126,11 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.concat(F.lit("dep"), (F.length("token") % 4).cast("string")).alias("dep")))
 
 
+def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed tokens of the documents."""
+    return parsed(doc_sentences(spark, sf_dir))
+
+
 def relation_dictionary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         RELATION_DICTIONARY, "relation string, relation_name string, link string")
@@ -222,15 +209,21 @@ def pred_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity.unionAll(again).unionAll(relation)
 
 
-def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training rows: marked sentences of the labelled documents, the relation
-    told by the document's labels."""
-    rows = relations.relation_candidates(tagged(spark, sf_dir, mentioned_only=True))
+def labelled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training features: marked sentences of the labelled documents, with path
+    and tags from their tokens; the relation is told by the document's labels."""
+    rows = relations.relation_candidates(tagged(spark, sf_dir, mentioned_only=True), "sent_no")
     labels = table(spark, sf_dir, "labels").select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("id"), "quality", "toxic")
     relation = (F.when(F.col("quality") == 0, "Other")
                 .when(F.col("toxic") == 1, "Cause-Effect(e2,e1)").otherwise("Cause-Effect(e1,e2)"))
     joined = rows.join(labels, "id").select(
-        "id", "entity", F.col("labeled_text").alias("input_sentence"),
-        relation.alias("input_relation"))
-    return model.training_rows(relations.relation_features(joined, training=True))
+        "id", F.concat_ws("-", "id", "sent_no").alias("sent_id"), "entity",
+        F.col("labeled_text").alias("input_sentence"), relation.alias("input_relation"))
+    return relations.relation_features(
+        joined, training=True, tokens=cut_lineage(tree(spark, sf_dir)))
+
+
+def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as training rows."""
+    return model.training_rows(labelled_features(spark, sf_dir))

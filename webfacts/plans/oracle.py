@@ -7,10 +7,10 @@ for retrieval, recursion for paths and phrase overlaps.
 from __future__ import annotations
 
 from webfacts.constants import (
-    BM25_B, BM25_K1, CONTRACTIONS, DROP_ELEMENTS, FEATURE_BRANCHES, SENTENCE_ENDS, STOP_WORDS,
-    TOP_K)
+    BM25_B, BM25_K1, CONTRACTIONS, DROP_ELEMENTS, FEATURE_BRANCHES, NAN_COLUMNS,
+    RELATION_DICTIONARY, SENTENCE_ENDS, STOP_WORDS, TOP_K)
 from webfacts.functions.text import WORD
-from webfacts.plans.inputs import KNOWN_RELATIONS, RELATION_DICTIONARY
+from webfacts.plans.inputs import KNOWN_RELATIONS, RULED_INTERCEPTS, RULED_LABELS
 
 
 # Unicode blanks, inside a character class.
@@ -289,18 +289,6 @@ def _doc_tfidf(kind: str) -> str:
         + "SELECT doc_id, term, tf, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w")
 
 
-def _branch_tfidf(names: list[str]) -> str:
-    unions = " UNION ALL ".join(
-        f"SELECT row_id, '{name}' AS branch, {_terms(column, kind)} AS terms FROM r"
-        for name, column, kind in FEATURE_BRANCHES if name in names)
-    rows = f"""r AS MATERIALIZED (SELECT md5(id || '|' || labeled_text || '|' || list_aggregate(list_transform(
-          range(1, len(names) + 1), lambda i: names[i] || '/' || labels[i] || '/' || tags[i]), 'string_agg', ';')) AS row_id,
-        e1, e1_e2, between_e1_e2, after_e2 FROM parts)"""
-    ctes = ",\n".join([f"{p} AS MATERIALIZED ({_CTE[p]})" for p in _PARTS] + [rows])
-    return (f"WITH {ctes}" + _tfidf("r", "row_id", unions, "r")
-            + "SELECT row_id, branch, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id, branch)), 6) AS weight FROM w")
-
-
 _PATHS = """reach(sent_id, source, target, node, path, depth) USING KEY (sent_id, source, target, node) AS (
     SELECT sent_id, source, target, source, source, 0 FROM ends
     UNION
@@ -317,6 +305,53 @@ def _path_query(parts: list[str], ends: str, body: str) -> str:
     return ("WITH RECURSIVE " + ",\n".join([*ctes, f"ends AS MATERIALIZED ({ends})", _PATHS]) + "\n" + body)
 
 
+_HEADS = [f"lower({_sub(f'head_e{n}', f'[^{WORD}{BLANK}]')})" for n in (1, 2)]
+
+# The path between the entities of each part, the marks' words being ``source``
+# and ``target``.
+_PART_ENDS = f"""SELECT DISTINCT id || '-' || sent_no AS sent_id, {_HEADS[0]} AS source, {_HEADS[1]} AS target
+    FROM parts"""
+_PART_JOIN = f"""LEFT JOIN reach r ON r.sent_id = id || '-' || p.sent_no AND r.source = {_HEADS[0]}
+    AND r.target = {_HEADS[1]} AND r.node = r.target"""
+_PART_PATH = """CASE WHEN EXISTS (SELECT 1 FROM steps s WHERE s.sent_id = r.sent_id AND s.src = r.source)
+    THEN coalesce(path, '') ELSE '' END AS shortest_path"""
+_PART_TREE = [*_PARTS, "typed", "tree", "parsed", "steps"]
+_BOTH_NER = ("CASE WHEN labels[{0}1] IS NOT NULL AND labels[{0}2] IS NOT NULL "
+             "THEN labels[{0}1] || ' ' || labels[{0}2] END")
+
+
+def _feature_row_query(body: str) -> str:
+    """``r``: prediction features with a row digest; then ``body``."""
+    columns = {
+        **{c: c for c in ("e1", "e2", "e1_e2", "head_e1", "head_e2", "head_e1_e2", "before_e1",
+                          "between_e1_e2", "after_e2", "sentence_string")},
+        "e1_ner": "labels[i1]", "e2_ner": "labels[i2]", "e1_postag": "tags[i1]",
+        "e2_postag": "tags[i2]", "e1_e2_ner": _BOTH_NER.format("i")}
+    filled = ", ".join(
+        f"coalesce({e}, 'nan') AS {c}" if c in NAN_COLUMNS else f"{e} AS {c}" for c, e in columns.items())
+    rows = f"""r AS MATERIALIZED (SELECT md5(id || '|' || labeled_text || '|' || list_aggregate(list_transform(
+          range(1, len(names) + 1), lambda i: names[i] || '/' || labels[i] || '/' || tags[i]), 'string_agg', ';')) AS row_id,
+        {filled}, {_PART_PATH} FROM typed p {_PART_JOIN})"""
+    unions = " UNION ALL ".join(
+        f"SELECT row_id, '{name}' AS branch, {_terms(column, kind)} AS terms FROM r"
+        for name, column, kind in FEATURE_BRANCHES)
+    return (_path_query(_PART_TREE, _PART_ENDS, f", {rows}") + _tfidf("r", "row_id", unions, "r") + body)
+
+
+def _ruled_predictions() -> str:
+    classes = range(len(RULED_LABELS))
+    sums = ", ".join(
+        f"sum(w * ((length(term) * 7 + length(branch) * {3 + k} + {5 * k}) % 11 - 5) / 10.0::DOUBLE) AS d{k}"
+        for k in classes)
+    totals = ", ".join(f"sum(d{k} / norm) + {RULED_INTERCEPTS[k]}::DOUBLE" for k in classes)
+    alone = ", ".join(f"{i}::DOUBLE" for i in RULED_INTERCEPTS)
+    return _feature_row_query(f"""
+      , parts_of AS (SELECT row_id, branch, sqrt(sum(w * w)) AS norm, {sums} FROM w GROUP BY ALL),
+      scored AS (SELECT row_id, [{totals}] AS scores FROM parts_of GROUP BY row_id)
+      SELECT row_id, {_list(RULED_LABELS)}[list_position(s, list_max(s))] AS preds
+      FROM (SELECT row_id, coalesce(scores, [{alone}]) AS s FROM r LEFT JOIN scored USING (row_id))""")
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query; those that fit a model have none."""
     rendered = ("list_aggregate(list_transform(range(1, len(names) + 1), "
@@ -345,10 +380,15 @@ def oracle_sql() -> dict[str, str]:
             upper(lang[1]) || lang[2:] AS relation, 'e2,e1' AS direction FROM documents""",
         "stored_links": _query([*_HITS, "links"], "SELECT id, entity, linking FROM links"),
         "stored_relations": _query(_RULED, "SELECT id, e1, e2, preds FROM ruled"),
-        "appended_lines": _query(["hrefs", "preds"], """SELECT 'ENTITY: page-' || page_id || chr(9) || a || chr(9) || href AS value FROM preds
-            UNION ALL SELECT 'ENTITY: page-' || page_id || chr(9) || a || chr(9) || '/again' FROM preds WHERE n % 4 = 1
-            UNION ALL SELECT 'RELATION: page-' || page_id || chr(9) || '/' || chr(9) || href || chr(9) || 'links to ' || n
-              || CASE WHEN page_id % 2 = 0 THEN chr(9) || 'P1' ELSE '' END FROM preds WHERE n % 2 = 0"""),
+        "appended_lines": _query(["hrefs", "preds"], """SELECT 'page-' || page_id AS record, a AS string,
+            CASE WHEN bool_or(n % 4 = 1) THEN '/again' ELSE arg_max(href, n) END AS entity
+            FROM preds GROUP BY page_id, a"""),
+        "stored_sentences": _query(_CLEAN, "SELECT id, sent_no, md5(org_text) AS digest FROM clean"),
+        "label_file": _query(["titles"], "SELECT label, arg_max(url, page_id) AS url FROM titles GROUP BY label"),
+        "known_relation_file": _query(["hrefs"], """SELECT 'links to ' || n AS label, '/' AS subject_url,
+            href AS object_url, 'P1' AS relation_url FROM hrefs WHERE n % 2 = 0"""),
+        "relation_file": _query(_RULED, """SELECT preds, relation_name, link, count(*) AS n
+            FROM ruled LEFT JOIN dict ON preds = relation GROUP BY ALL"""),
         "entities_flat": _query(_HITS, "SELECT id, sent_no, ent_no, alias AS text, label FROM hits"),
         "entities_multiword": _query(
             [*_CLEAN, "titles", "anchors", "lex", "phrases", "phrase_gaz", "tokens", "phrase_hits", "walk"],
@@ -392,10 +432,10 @@ def oracle_sql() -> dict[str, str]:
             labels[i2] AS e2_ner, tags[i1] AS e1_postag, tags[i2] AS e2_postag, {both.format('i')} FROM typed"""),
         "train_entity_types": _query([*_PARTS, "typed"], f"""SELECT id, labeled_text, labels[x1] AS e1_ner,
             labels[x2] AS e2_ner, {both.format('x')} FROM typed"""),
-        "train_entity_pos": _query([*_PARTS, "tree", "parsed", "lists"], """SELECT sent_id, labeled_text,
+        "train_entity_pos": _query([*_PARTS, "tree", "parsed", "lists"], """SELECT id || '-' || sent_no AS sent_id, labeled_text,
             wtags[list_filter(range(1, len(words) + 1), lambda i: contains(words[i], e1))[-1]] AS e1_postag,
             wtags[list_filter(range(1, len(words) + 1), lambda i: contains(words[i], e2) AND NOT contains(words[i], e1))[-1]] AS e2_postag
-            FROM parts JOIN lists ON sent_id = id || '-' || sent_no"""),
+            FROM parts LEFT JOIN lists ON sent_id = id || '-' || sent_no"""),
         "relation_labels": _query(_RULED, r"""SELECT id,
               relation || coalesce('**' || direction, '') AS input_relation,
               relation, coalesce(direction, 'nan') AS direction, relation || ' ' || coalesce(direction, 'nan') AS label
@@ -415,20 +455,33 @@ def oracle_sql() -> dict[str, str]:
             e1, e2, e1_e2, head_e1, head_e2, head_e1_e2, before_e1, between_e1_e2, after_e2,
             labels[i1] AS e1_ner, labels[i2] AS e2_ner, tags[i1] AS e1_postag, tags[i2] AS e2_postag,
             {both.format('i')}, 'nan' AS relation, 'nan' AS direction, sentence_string, '' AS shortest_path FROM typed"""),
-        "feature_paths": _path_query(
-            [*_PARTS, "tree", "parsed", "steps"],
-            f"""SELECT DISTINCT id || '-' || sent_no AS sent_id, lower({_sub('head_e1', f'[^{WORD}{BLANK}]')}) AS source,
-              lower({_sub('head_e2', f'[^{WORD}{BLANK}]')}) AS target FROM parts""",
-            f"""SELECT id || '-' || p.sent_no AS sent_id, labeled_text, e1, e2,
-              CASE WHEN EXISTS (SELECT 1 FROM steps s WHERE s.sent_id = r.sent_id AND s.src = r.source)
-                THEN coalesce(path, '') ELSE '' END AS shortest_path
-            FROM parts p LEFT JOIN reach r ON r.sent_id = id || '-' || p.sent_no
-              AND r.source = lower({_sub('head_e1', f'[^{WORD}{BLANK}]')})
-              AND r.target = lower({_sub('head_e2', f'[^{WORD}{BLANK}]')}) AND r.node = r.target"""),
+        "feature_paths": _path_query(_PART_TREE, _PART_ENDS, f"""SELECT id || '-' || p.sent_no AS sent_id,
+            labeled_text, e1, e2, {_PART_PATH} FROM parts p {_PART_JOIN}"""),
+        "prediction_features": _path_query(_PART_TREE, _PART_ENDS, f"""SELECT labeled_text AS input_sentence,
+            'nan' AS input_relation, id, e1, e2, e1_e2, head_e1, head_e2, head_e1_e2, before_e1, between_e1_e2, after_e2,
+            coalesce(labels[i1], 'nan') AS e1_ner, coalesce(labels[i2], 'nan') AS e2_ner,
+            coalesce(tags[i1], 'nan') AS e1_postag, coalesce(tags[i2], 'nan') AS e2_postag,
+            coalesce({_BOTH_NER.format('i')}, 'nan') AS e1_e2_ner,
+            'nan' AS relation, 'nan' AS direction, sentence_string, {_PART_PATH} FROM typed p {_PART_JOIN}"""),
+        "training_features": _path_query([*_PART_TREE, "lists"], _PART_ENDS, f"""SELECT labeled_text AS input_sentence,
+            CASE WHEN quality = 0 THEN 'Other' WHEN toxic = 1 THEN 'Cause-Effect**e2,e1' ELSE 'Cause-Effect**e1,e2' END AS input_relation,
+            id, e1, e2, e1_e2, head_e1, head_e2, head_e1_e2, before_e1, between_e1_e2, after_e2,
+            coalesce(labels[x1], 'nan') AS e1_ner, coalesce(labels[x2], 'nan') AS e2_ner,
+            coalesce(wtags[list_filter(range(1, len(words) + 1), lambda i: contains(words[i], e1))[-1]], 'nan') AS e1_postag,
+            coalesce(wtags[list_filter(range(1, len(words) + 1),
+              lambda i: contains(words[i], e2) AND NOT contains(words[i], e1))[-1]], 'nan') AS e2_postag,
+            coalesce({_BOTH_NER.format('x')}, 'nan') AS e1_e2_ner,
+            CASE WHEN quality = 0 THEN 'Other' ELSE 'Cause-Effect' END AS relation,
+            CASE WHEN quality = 0 THEN 'nan' WHEN toxic = 1 THEN 'e2,e1' ELSE 'e1,e2' END AS direction,
+            sentence_string, {_PART_PATH}
+            FROM typed p JOIN (SELECT 'doc-' || doc_id AS id, quality, toxic FROM labels) USING (id)
+            LEFT JOIN lists l ON l.sent_id = id || '-' || p.sent_no {_PART_JOIN}"""),
         "tfidf_words": _doc_tfidf("word"),
         "tfidf_whitespace": _doc_tfidf("whitespace"),
         "tfidf_bigrams": _doc_tfidf("bigram"),
-        "tfidf_branches": _branch_tfidf(["e1", "e1_e2", "e1_e2_bigram", "between_e1_e2", "after_e2_bigram"]),
+        "tfidf_branches": _feature_row_query("""SELECT row_id, branch, term,
+            round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id, branch)), 6) AS weight FROM w"""),
+        "ruled_predictions": _ruled_predictions(),
         "union_labelled": "SELECT doc_id, lang, quality, toxic FROM documents JOIN labels USING (doc_id) WHERE quality IN (0, 1)",
         "split_md5": """SELECT doc_id, CASE WHEN ('0x' || left(md5(doc_id::VARCHAR), 8))::BIGINT::DOUBLE / 4294967296.0 < 0.7
             THEN 'train' ELSE 'test' END AS part FROM documents""",

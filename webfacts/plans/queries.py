@@ -108,12 +108,47 @@ def stored_relations(spark, sf):
 
 
 def appended_lines(spark, sf):
-    """Prediction lines of two runs in one folder."""
+    """The entities that predictions of two runs in one folder leave: the second
+    run's lines come after the first one's."""
     path = shared_folder(spark)
-    lines = inputs.pred_lines(spark, sf)
-    files.write_lines(lines.where("value LIKE 'ENTITY%'"), path)
-    files.write_lines(lines.where("value LIKE 'RELATION%'"), path, mode="append")
-    return files.read_lines(spark, path).select("value")
+    lines = inputs.pred_lines(spark, sf).orderBy("line_at")
+    late = F.col("value").rlike("/again$|^RELATION")
+    files.write_lines(lines.where(~late), path)
+    files.write_lines(lines.where(late), path, mode="append")
+    return scoring.predicted_entities(files.read_lines(spark, path))
+
+
+def stored_sentences(spark, sf):
+    """The sentence table written as Parquet and read back."""
+    path = shared_folder(spark)
+    files.write_parquet(inputs.doc_sentences(spark, sf), path)
+    return files.read_parquet(spark, path).select(
+        "id", F.col("sent_no").cast("long").alias("sent_no"), F.md5("org_text").alias("digest"))
+
+
+def label_file(spark, sf):
+    """Page titles and addresses as a dictionary file; the last line of a title wins."""
+    path = shared_folder(spark)
+    rows = inputs.label_dictionary(spark, sf).orderBy("page_id")
+    files.write_lines(rows.select(F.concat_ws("\t", "label", "url").alias("value")), path)
+    return files.read_label_dictionary(spark, path)
+
+
+def known_relation_file(spark, sf):
+    """Links between pages as a file of known relations."""
+    path = shared_folder(spark)
+    line = F.concat_ws("\t", "string", "s", "o", "rel_id").alias("value")
+    files.write_lines(scoring.gold_relations(inputs.gold_lines(spark, sf)).select(line), path)
+    return files.read_known_relations(spark, path)
+
+
+def relation_file(spark, sf):
+    """Relations of the documents named by a headerless CSV dictionary."""
+    path = shared_folder(spark)
+    files.write_headerless_csv(inputs.relation_dictionary(spark), path)
+    return model.link_relations(
+        inputs.ruled_relations(spark, sf), files.read_relation_dictionary(spark, path)
+    ).groupBy("preds", "relation_name", "link").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- tagging and marking ---------------------------------------------------
@@ -247,7 +282,7 @@ def train_entity_pos(spark, sf):
     rows = relations.split_marked(relations.relation_candidates(
         inputs.tagged(spark, sf, mentioned_only=True), "sent_no"), "labeled_text")
     keyed = rows.withColumn("sent_id", F.concat_ws("-", "id", "sent_no"))
-    parsed = keyed.join(paths.token_lists(inputs.tree(spark, sf)), "sent_id")
+    parsed = keyed.join(paths.token_lists(inputs.tree(spark, sf)), "sent_id", "left")
     return relations.add_token_tags(parsed).select("sent_id", "labeled_text", "e1_postag", "e2_postag")
 
 
@@ -295,6 +330,25 @@ def feature_paths(spark, sf):
     return with_paths.select("sent_id", "labeled_text", "e1", "e2", "shortest_path")
 
 
+def _features(rows):
+    """A feature table, written and read back; ``nan`` for what is missing."""
+    path = shared_folder(rows.sparkSession)
+    files.write_parquet(features.fill_missing(rows), path)
+    return files.read_parquet(rows.sparkSession, path).select(
+        *relations.FEATURE_COLUMNS, "shortest_path")
+
+
+def prediction_features(spark, sf):
+    """Features of all marked sentences, with paths."""
+    tagged = inputs.tagged(spark, sf, mentioned_only=True)
+    return _features(model.prediction_features(tagged, cut_lineage(inputs.tree(spark, sf))))
+
+
+def training_features(spark, sf):
+    """Features of the labelled sentences, with paths and token tags."""
+    return _features(inputs.labelled_features(spark, sf))
+
+
 # --- model -----------------------------------------------------------------
 
 def _tfidf(spark, sf, kind):
@@ -315,14 +369,32 @@ def tfidf_bigrams(spark, sf):
     return _tfidf(spark, sf, "bigram")
 
 
+def _feature_rows(spark, sf):
+    """Features of all marked sentences, ``id`` being a digest of the row."""
+    rows = relations.relation_candidates(inputs.tagged(spark, sf, mentioned_only=True), "sent_no")
+    keyed = rows.withColumns({
+        "sent_id": F.concat_ws("-", "id", "sent_no"),
+        "id": F.md5(F.concat_ws("|", "id", "labeled_text", _render()))})
+    return cut_lineage(features.fill_missing(relations.relation_features(
+        keyed, tokens=cut_lineage(inputs.tree(spark, sf)))))
+
+
 def tfidf_branches(spark, sf):
-    rows = inputs.pairs(spark, sf).select(
-        F.md5(F.concat_ws("|", "id", "labeled_text", _render())).alias("row_id"),
-        "e1", "e1_e2", "between_e1_e2", "after_e2")
-    wanted = {"e1", "e1_e2", "e1_e2_bigram", "between_e1_e2", "after_e2_bigram"}
-    branches = [b for b in features.FEATURE_BRANCHES if b[0] in wanted]
-    return features.tfidf(rows, "row_id", branches).select(
-        "row_id", "branch", "term", F.round("weight", 6).alias("weight"))
+    return features.tfidf(_feature_rows(spark, sf), "id", features.FEATURE_BRANCHES).select(
+        F.col("id").alias("row_id"), "branch", "term", F.round("weight", 6).alias("weight"))
+
+
+def ruled_predictions(spark, sf):
+    """Classes by coefficients that a rule makes of each term of the vocabulary."""
+    rows = _feature_rows(spark, sf)
+    idf = features.term_idf(rows, features.term_rows(rows, "id", features.FEATURE_BRANCHES))
+    coefficient = F.array(*[
+        ((F.length("term") * 7 + F.length("branch") * (3 + k) + 5 * k) % 11 - 5) / F.lit(10.0)
+        for k in range(len(inputs.RULED_LABELS))])
+    ruled = model.RelationModel(
+        cut_lineage(idf.withColumn("coef", coefficient)), inputs.RULED_LABELS,
+        inputs.RULED_INTERCEPTS, None)
+    return model.predict_relations(rows, ruled, "id").select(F.col("id").alias("row_id"), "preds")
 
 
 def union_labelled(spark, sf):
@@ -346,7 +418,8 @@ def svm_predictions(spark, sf):
 
 
 def svm_grid(spark, sf):
-    return model.tune_relations(inputs.labelled_pairs(spark, sf), grid=(1.0, 1000.0), folds=2, max_iter=5)
+    """Cross-validated F1 of the six values of C."""
+    return model.tune_relations(inputs.labelled_pairs(spark, sf), refit=False).scores
 
 
 def relation_links(spark, sf):
@@ -397,26 +470,28 @@ def score_relations(spark, sf):
 
 def page_facts(spark, sf):
     """Pages to result lines, with a classifier trained on the labelled documents."""
-    sentences = pages.page_sentences(inputs.records(spark, sf))
+    sentences = cut_lineage(pages.page_sentences(inputs.records(spark, sf)))
     tagged = cut_lineage(facts.tag_and_mark(
         sentences, inputs.gazetteer(spark, sf), inputs.lexicon(spark, sf), mentioned_only=True))
-    fitted = model.fit_relations(inputs.labelled_pairs(spark, sf), max_iter=20)
+    fitted = model.fit_relations(inputs.labelled_pairs(spark, sf))
     return facts.fact_lines(
-        tagged, cut_lineage(inputs.kb(spark, sf)), fitted, inputs.relation_dictionary(spark))
+        tagged, inputs.kb(spark, sf), fitted, inputs.relation_dictionary(spark),
+        tokens=cut_lineage(inputs.parsed(sentences)))
 
 
 CATALOGUE: list[Callable[[SparkSession, str], DataFrame]] = [
     record_keys, html_bodies, page_texts, page_sentences, doc_sentences, clean_sentences,
     stopword_anti_join, printable_text,
     archive_records, labelled_blocks, stored_links, stored_relations, appended_lines,
+    stored_sentences, label_file, known_relation_file, relation_file,
     entities_flat, entities_multiword, entity_arrays, pos_strings, token_pos, distinct_entities,
     marked_pairs, label_containment, attached_relations,
     escaped_queries, kb_candidates, char_cosine_rank, word_cosine, entity_links,
     marked_parts, quoted_lines, entity_types, train_entity_types, train_entity_pos,
     relation_labels, clean_pair_sentence, connecting_paths, token_lists, feature_rows,
-    feature_paths,
+    feature_paths, prediction_features, training_features,
     tfidf_words, tfidf_whitespace, tfidf_bigrams, tfidf_branches, union_labelled, split_md5,
-    svm_predictions, svm_grid, relation_links,
+    ruled_predictions, svm_predictions, svm_grid, relation_links,
     result_lines, one_link_per_entity, link_lookup, gold_rows, pred_rows,
     score_entities, score_relations, page_facts,
 ]

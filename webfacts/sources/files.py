@@ -41,6 +41,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (df.withColumns(nested) if nested else df).write.mode(mode).options(**_CSV).csv(path)
 
 
+def write_headerless_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV without a header line; blanks inside fields are kept, missing values
+    are empty fields."""
+    df.write.mode(mode).options(
+        escape='"', emptyValue='""', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+
+
 def read_headerless_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV without a header line; blanks inside fields are kept."""
     return spark.read.option("escape", '"').schema(schema).csv(path)
