@@ -7,6 +7,7 @@ twice by its magnitude with different hashes. Pairs come from the first order;
 those that do not share a prefix token under the others as well are dropped
 before sets are compared.
 
+0. Of equal texts only the first is looked at; the others share its fate.
 1. Documents are dealt into blocks. A block counts its tokens and sends them, one
    packed list for each range of tokens, to be counted over all blocks; what comes
    back to a block are the frequencies of its tokens that are not unique.
@@ -33,11 +34,13 @@ from webfacts.llm.columns import staged
 from webfacts.llm.ranges import in_ranges, shuffle_partitions
 
 # Characters of text that a block should hold.
-BLOCK_CHARACTERS = 12_000_000
+BLOCK_CHARACTERS = 6_000_000
 # Tokens are counted by their leading bits; tokens that agree there only look
 # more frequent, alike in all documents, which no order minds.
 _COUNTED_BITS = 40
-_WORD_CACHE = 500_000
+_WORD_CACHE = 100_000
+# Rows that are handed back together.
+_ROWS_AT_ONCE = 500
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 ORDERS = 3
 # Star rounds end when pairs left are within so many times the prefix tokens.
@@ -88,16 +91,19 @@ class Shingler:
 
 
 def _packed(sorted_values: np.ndarray) -> tuple[int, bytes]:
-    """Differences of ascending numbers in the fewest bytes that hold them all."""
-    steps = np.diff(sorted_values, prepend=np.uint64(0))
+    """The first of ascending numbers, then their differences in the fewest bytes
+    that hold them all."""
+    steps = np.diff(sorted_values)
     width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
-    return width, steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    packed = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    return width, sorted_values[:1].astype("<u8").tobytes() + packed
 
 
 def _unpacked(width: int, data: bytes) -> np.ndarray:
-    steps = np.frombuffer(data, dtype=np.uint8).reshape(-1, width)
-    whole = np.zeros((len(steps), 8), dtype=np.uint8)
-    whole[:, :width] = steps
+    steps = np.frombuffer(data, dtype=np.uint8, offset=8).reshape(-1, width)
+    whole = np.zeros((len(steps) + 1, 8), dtype=np.uint8)
+    whole[0] = np.frombuffer(data, dtype=np.uint8, count=8)
+    whole[1:, :width] = steps
     return np.cumsum(whole.view("<u8").ravel(), dtype=np.uint64)
 
 
@@ -113,7 +119,8 @@ def _list_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _count_blocks(k: int, ranges: int):
-    """Texts in order of their block to one list per block and range of tokens."""
+    """Keys of copies, then texts, in order of their block to one list per block
+    and range of tokens."""
     shift = np.uint64(64 - _COUNTED_BITS)
 
     def lists(block: int, sets: list[np.ndarray]) -> pa.RecordBatch:
@@ -129,13 +136,19 @@ def _count_blocks(k: int, ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
-        block, sets = None, []
+        block, sets, copies = None, [], set()
         for batch in batches:
-            for place, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for place, key, digest, copy, text in zip(
+                    *(batch.column(i).to_pylist() for i in range(4)), batch.column(4)):
                 if place != block:
                     if sets:
                         yield lists(block, sets)
-                    block, sets = place, []
+                    block, sets, copies = place, [], set()
+                if copy:
+                    copies.add((key, digest))
+                    continue
+                if (key, digest) in copies:
+                    continue
                 found = shingler.tokens(text.as_py()) >> shift
                 if len(found):
                     sets.append(found)
@@ -176,25 +189,27 @@ def _count_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield out
 
 
-_SETS = ("doc_id long, n_shingles long, node string, prefix array<long>, places array<int>, "
+_SETS = ("doc_id long, digest binary, n_shingles long, node string, prefix array<long>, places array<int>, "
          "second array<long>, third array<long>, tokens array<long>")
 
 
 def _prefixes(k: int, numerator: int, denominator: int):
-    """Lists of a block, then its texts, to one row per text with what the join
-    needs of it; prefixes are null where no partner is possible."""
+    """Lists of a block and keys of copies, then its texts, to one row per text
+    that is no copy, with what the join needs of it; prefixes are null where no
+    partner is possible."""
     import xxhash
 
     shift = np.uint64(64 - _COUNTED_BITS)
     longs = pa.list_(pa.int64())
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.string()), ("prefix", longs),
+        ("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()),
+        ("node", pa.string()), ("prefix", longs),
         ("places", pa.list_(pa.int32())), ("second", longs), ("third", longs), ("tokens", longs)])
 
-    def row(key: int | None, tokens: np.ndarray, known: np.ndarray, often: np.ndarray) -> tuple:
+    def row(key: tuple, tokens: np.ndarray, known: np.ndarray, often: np.ndarray) -> tuple:
         n = len(tokens)
         if not n:
-            return key, 0, None, None, None, None, None, None
+            return *key, 0, None, None, None, None, None, None
         node = xxhash.xxh3_128_hexdigest(tokens.tobytes())
         need = n + (-n * numerator) // denominator + 1
         df = np.ones(n, dtype=np.int64)
@@ -205,7 +220,7 @@ def _prefixes(k: int, numerator: int, denominator: int):
             df[hit] = often[at[hit]]
         unique = int((df == 1).sum())
         if unique >= need:
-            return key, n, node, None, None, None, None, None
+            return *key, n, node, None, None, None, None, None
         # Unique tokens come first in every order, so only the others are sorted.
         rest, often_rest = tokens[df > 1], df[df > 1]
         magnitude = np.log2(often_rest).astype(np.int64)
@@ -215,30 +230,42 @@ def _prefixes(k: int, numerator: int, denominator: int):
             tie = _mixed(rest + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
             taken.append(rest[np.lexsort((tie, rank))[:need - unique]].view(np.int64))
         places = np.arange(unique + 1, unique + 1 + len(taken[0]), dtype=np.int32)
-        return key, n, node, taken[0], places, taken[1], taken[2], tokens.view(np.int64)
+        return *key, n, node, taken[0], places, taken[1], taken[2], tokens.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
-        block, parts, known, often = None, [], None, None
+        block, parts, known, often, copies = None, [], None, None, set()
+        def rows(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+        out: list[tuple] = []
         for batch in batches:
-            out = []
-            for place, key, text, width, tokens, counts in zip(
-                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                    batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+            for place, key, digest, copy, text, width, tokens, counts in zip(
+                    *(batch.column(i).to_pylist() for i in range(4)), batch.column(4),
+                    batch.column(5).to_pylist(), batch.column(6), batch.column(7)):
                 if place != block:
-                    block, parts, known = place, [], None
+                    block, parts, known, copies = place, [], None, set()
                 if width is not None:
                     parts.append((_unpacked(width, tokens.as_py()),
                                   np.frombuffer(counts.as_py(), dtype="<u4")))
                     continue
+                if copy:
+                    copies.add((key, digest))
+                    continue
+                if (key, digest) in copies:
+                    continue
                 if known is None:
                     known = np.concatenate([p[0] for p in parts] or [np.empty(0, np.uint64)])
                     often = np.concatenate([p[1] for p in parts] or [np.empty(0, np.uint32)])
                     order = np.argsort(known)
                     known, often, parts = known[order], often[order], []
-                out.append(row(key, shingler.tokens(text.as_py()), known, often))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+                out.append(row((key, digest), shingler.tokens(text.as_py()), known, often))
+                if len(out) >= _ROWS_AT_ONCE:
+                    yield rows(out)
+                    out = []
+        if out:
+            yield rows(out)
 
     return run
 
@@ -370,30 +397,42 @@ def join_shingles(
     columns are left out. Texts may be of any length.
     """
     numerator, denominator = similarity
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).select(
+        "doc_id", "text", F.unhex(F.md5("text")).alias("digest"))
     spark = docs.sparkSession
-    size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    keys = staged(rows.select("doc_id", "digest", F.length("text").alias("size")))
+    size = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     blocks = max(shuffle_partitions(spark), -(-size // block_characters))
-    placed = rows.withColumn("_block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("long"))
-    counted = (in_ranges(placed.select("_block", "text"), "_block")
-               .mapInArrow(_count_blocks(k, blocks), _LISTS))
-    frequent = staged(in_ranges(counted, "_range").mapInArrow(_count_ranges, _LISTS))
+    block = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(blocks)).cast("long")
+    firsts = keys.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    copies = staged(keys.where("doc_id IS NOT NULL").select("doc_id", "digest").join(firsts, "digest")
+                    .where("doc_id <> first_id"))
     nothing = lambda kind: F.lit(None).cast(kind)
+    # Keys of copies come before the texts of their block.
+    placed = rows.select(
+        block.alias("_block"), "doc_id", "digest", F.lit(False).alias("copy"), "text").unionByName(
+        copies.select(block.alias("_block"), "doc_id", "digest", F.lit(True).alias("copy"),
+                      nothing("string").alias("text")))
+    counted = in_ranges(placed, "_block", F.desc("copy"), partitions=blocks).mapInArrow(_count_blocks(k, blocks), _LISTS)
+    frequent = staged(in_ranges(counted, "_range", partitions=blocks).mapInArrow(_count_ranges, _LISTS))
     both = (
-        placed.select("_block", "doc_id", "text", nothing("int").alias("width"),
-                      nothing("binary").alias("tokens"), nothing("binary").alias("counts"))
+        placed.select("*", nothing("int").alias("width"), nothing("binary").alias("tokens"),
+                      nothing("binary").alias("counts"))
         .unionByName(frequent.select(
-            "_block", nothing("long").alias("doc_id"), nothing("string").alias("text"),
-            "width", "tokens", "counts")))
-    # The lists of a block come before its texts.
-    found = staged(
-        in_ranges(both, "_block", F.col("width").isNull())
-        .mapInArrow(_prefixes(k, numerator, denominator), _SETS))
+            "_block", nothing("long").alias("doc_id"), nothing("binary").alias("digest"),
+            F.lit(True).alias("copy"), nothing("string").alias("text"), "width", "tokens", "counts")))
+    # The lists of a block come before its texts as well.
+    found = staged(in_ranges(both, "_block", F.desc("copy"), partitions=blocks).mapInArrow(
+        _prefixes(k, numerator, denominator), _SETS))
+    light = found.select("doc_id", "digest", "n_shingles", "node")
+    shared = light.dropDuplicates(["doc_id", "digest"]).withColumnRenamed("doc_id", "first_id")
+    every = staged(light.select("doc_id", "n_shingles", "node").unionByName(
+        copies.join(shared, ["first_id", "digest"]).select("doc_id", "n_shingles", "node")))
     classes = staged(
-        found.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
+        every.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
         .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies")))
     sets = staged(
-        found.where("prefix IS NOT NULL")
+        found.where("prefix IS NOT NULL").drop("digest")
         .join(classes.select("node", F.col("first_id").alias("doc_id")), ["node", "doc_id"], "left_semi")
         .dropDuplicates(["node"]))
     roots = _linked(sets, numerator, denominator)
@@ -401,7 +440,7 @@ def join_shingles(
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(smallest, "root").select("node", "component_id", "n_copies")
     return (
-        found.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+        every.join(named, "node", "left")
         .select(
             "doc_id", "n_shingles",
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),

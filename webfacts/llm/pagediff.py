@@ -264,7 +264,8 @@ def extract(
             F.coalesce(_host(F.col(url)), F.lit("")).alias("host"),
             F.coalesce(_path(F.col(url)), F.lit("")).alias("path"),
             F.coalesce(F.col(page_id).cast("long"), F.lit(least)).alias("id")).alias("_key"))
-    cuts = _key_cuts(rows, ranges or RANGES_PER_PARTITION * shuffle_partitions(pages.sparkSession))
+    ranges = ranges or RANGES_PER_PARTITION * shuffle_partitions(pages.sparkSession)
+    cuts = _key_cuts(rows, ranges)
     literal = lambda keys: F.array(*[F.struct(
         F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(i).cast("long").alias("id"))
         for h, p, i in keys])
@@ -286,7 +287,7 @@ def extract(
             .select(F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("url"),
                     "html", "_key", F.col("_for").alias("_part"), F.col("_at").alias("_place")))
         both = both.unionByName(seen)
-    ordered = in_ranges(both, "_part", F.asc("_place"), F.asc("_key"), F.asc("html"))
+    ordered = in_ranges(both, "_part", F.asc("_place"), F.asc("_key"), F.asc("html"), partitions=ranges)
     return ordered.select("page_id", "url", "html", F.col("_key.host").alias("_host"), "_part", "_place").mapInArrow(
         _differenced, "page_id long, url string, text string, n_chars long, shared_lines long")
 

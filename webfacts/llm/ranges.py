@@ -53,7 +53,8 @@ def range_of(
         (group - 1) * step + inside)
 
 
-def in_ranges(rows: DataFrame, part: str, *order: Column) -> DataFrame:
-    """Each range whole in one task, its rows in order."""
-    n = shuffle_partitions(rows.sparkSession)
+def in_ranges(rows: DataFrame, part: str, *order: Column, partitions: int = 0) -> DataFrame:
+    """Each range whole in one task, its rows in order; in more ``partitions``
+    than the session's, if so many are asked for, ranges meet less unevenly."""
+    n = max(partitions, shuffle_partitions(rows.sparkSession))
     return rows.repartition(n, part).sortWithinPartitions(part, *order)
