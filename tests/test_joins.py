@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from webfacts.operators import joins
@@ -43,11 +42,8 @@ def test_rows_without_a_key_are_spread(spark):
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_each_side_is_evaluated_once(spark, limit, how):
-    big_seen, small_seen = Observation(), Observation()
-    big = spark.range(2000).select((F.col("id") % 50).cast("string").alias("key")).observe(
-        big_seen, F.count(F.lit(1)).alias("n"))
-    small = spark.range(60).select(F.col("id").cast("string").alias("key"), F.lit(1).alias("w")).observe(
-        small_seen, F.count(F.lit(1)).alias("n"))
+    big = spark.range(2000).select((F.col("id") % 50).cast("string").alias("key"))
+    small = spark.range(60).select(F.col("id").cast("string").alias("key"), F.lit(1).alias("w"))
     evaluated = spark.sparkContext.accumulator(0)
 
     def seen(batches):
@@ -55,11 +51,10 @@ def test_each_side_is_evaluated_once(spark, limit, how):
             evaluated.add(batch.num_rows)
             yield batch
 
-    counted = small.mapInArrow(seen, small.schema)
-    joined = joins.lookup_join(big.mapInArrow(seen, big.schema), counted, "key", how, limit=limit)
+    joined = joins.lookup_join(
+        big.mapInArrow(seen, big.schema), small.mapInArrow(seen, small.schema), "key", how, limit=limit)
     joined.write.format("noop").mode("overwrite").save()
     assert evaluated.value == 2060
-    assert (big_seen.get["n"], small_seen.get["n"]) == (2000, 60)
 
 
 def test_small_side_is_broadcast_without_a_shuffle(sides):
