@@ -22,7 +22,7 @@ A shard is one row of the files (Parquet, in any folder Spark can write):
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -192,7 +192,10 @@ def write_shards(
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, False).encode
+        with encoder(tokenizer, False) as words:
+            yield from shards(batches, words.encode)
+
+    def shards(batches: Iterator[pa.RecordBatch], encode: Callable) -> Iterator[pa.RecordBatch]:
         part, shard, before = None, 0, 0
         keys: list = []
         ids: list[bytes] = []

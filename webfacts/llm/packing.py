@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -107,7 +107,10 @@ def pack(
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, True).encode
+        with encoder(tokenizer, True) as words:
+            yield from packed_pieces(batches, words.encode)
+
+    def packed_pieces(batches: Iterator[pa.RecordBatch], encode: Callable) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 33
         pieces: list[tuple] = []
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 import re
 import string
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -134,14 +135,24 @@ class WordEncoder:
         return list(map(b"".join, found))
 
 
-_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
+_TOKENIZERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def encoder(path: str, blanks: bool) -> WordEncoder:
-    """The worker's encoder for a vocabulary file."""
+@contextmanager
+def encoder(path: str, blanks: bool) -> Iterator[WordEncoder]:
+    """The worker's encoder for a vocabulary file, for one task.
+
+    The words it learned are let go with the task: a worker that goes on to other work
+    must not hold them.
+    """
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if (path, blanks) not in _ENCODERS:
-        _ENCODERS[path, blanks] = WordEncoder(path, blanks)
-    return _ENCODERS[path, blanks]
+    if (path, blanks) not in _TOKENIZERS:
+        _TOKENIZERS[path, blanks] = WordEncoder(path, blanks)
+    own = _TOKENIZERS[path, blanks]
+    try:
+        yield own
+    finally:
+        own.cache.clear()
+        own.parts.clear()
