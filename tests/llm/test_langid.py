@@ -61,3 +61,17 @@ def test_fit_is_bounded_and_repeatable(spark):
     one = langid.fit(docs, rows=20, characters=100)
     assert max(map(len, one.values())) <= 20 * 101
     assert one == langid.fit(docs.repartition(7), rows=20, characters=100)
+
+
+def test_short_texts_are_settled(spark, known):
+    rows = [(" ".join(WORDS[lang][i:i + n]) + ".", lang) for lang in WORDS for n in (1, 2, 3) for i in range(9)]
+    found = langid.identify(spark.createDataFrame(rows, "text string, truth string"), known).collect()
+    kept = [r for r in found if not r["rejected"]]
+    assert len(kept) >= 0.95 * len(rows) and sum(r["lang_pred"] == r["truth"] for r in kept) >= 0.95 * len(kept)
+    assert all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_short_text_without_evidence_stays_ambiguous(spark):
+    same = {"en": b"the and of that with", "de": b"the and of that with"}
+    found = langid.identify(spark.createDataFrame([("that",)], "text string"), same).first()
+    assert tuple(found) == ("that", "en", 0.0, True)

@@ -2,8 +2,12 @@
 
 Each language has a raw-content dictionary for zstandard, made of pieces of its
 labelled texts. A text is compressed in blocks under every dictionary, so that
-the dictionary counts all along a long text, and the smallest total wins. A text
-is rejected when the second smallest total is hardly larger.
+the dictionary counts all along a long text, and the smallest total wins. Totals
+are whole bytes, and a few words are stored as they are; so where one byte is more
+than the least margin and the smallest totals are equal, the text is measured in
+parts of bits: the ideal code length of its bytes, each predicted from up to four
+bytes before it by their counts in the dictionary. A text is rejected when the
+second smallest measure is hardly larger.
 
 Texts are lower-cased and everything but letters becomes a blank, in the
 dictionaries as in the texts: capitals and ornaments say nothing about language.
@@ -11,8 +15,11 @@ dictionaries as in the texts: capitals and ornaments say nothing about language.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -28,6 +35,10 @@ CHARACTERS_PER_ROW = 500
 LEVEL = 5
 BLOCK = 4096
 MIN_MARGIN = 0.002
+# Bytes before a byte that predict it, and what the shorter ones weigh against
+# the counts of the longer, where small totals are equal.
+ORDER = 4
+BACKOFF = 4.0
 _NO_LETTER = re.compile(r"[\W\d_]+")
 _RESULT = "lang_pred string, score double, rejected boolean"
 
@@ -70,6 +81,26 @@ def fit(
             for r in sorted(sample, key=lambda r: (-counts[r["_lang"]], r["_lang"]))}
 
 
+@lru_cache(maxsize=1 << 16)
+def _count(content: bytes, part: bytes) -> int:
+    return content.count(part)
+
+
+def _code_length(data: bytes, content: bytes) -> float:
+    """Bits of ``data`` by the counts of ``content``."""
+    framed = b" " + data.strip() + b" "
+    total = 0.0
+    for window, n in Counter(framed[max(0, i - ORDER):i + 1] for i in range(1, len(framed))).items():
+        chance = 1 / 256
+        for known in range(len(window)):
+            before = window[len(window) - 1 - known:-1]
+            of = _count(content, before) if before else len(content)
+            chance = (_count(content, before + window[-1:]) + BACKOFF * chance) / (of + BACKOFF)
+        # Counts leave out overlaps, so that a chance could pass one.
+        total -= n * math.log2(min(chance, 1.0))
+    return total
+
+
 def _compressors(dictionaries: dict[str, bytes], level: int, block: int) -> list:
     import zstandard
 
@@ -80,21 +111,25 @@ def _compressors(dictionaries: dict[str, bytes], level: int, block: int) -> list
             level, dict_size=len(content), source_size=block, write_content_size=False,
             write_checksum=False, write_dict_id=False)
         known.precompute_compress(compression_params=setting)
-        out.append((lang, zstandard.ZstdCompressor(dict_data=known, compression_params=setting)))
+        out.append((lang, zstandard.ZstdCompressor(dict_data=known, compression_params=setting), content))
     return out
 
 
 def classify(text: str | None, compressors: list, block: int, min_margin: float) -> tuple:
     """``(language, score, rejected)`` of one text; the score is the margin of
-    the smallest total to the second, as a part of the second."""
+    the smallest measure to the second, as a part of the second."""
     if not text or not compressors or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, True
     data = _plain(text).encode("utf-8", "replace")
     blocks = [data[i:i + block] for i in range(0, len(data), block)]
-    sizes = sorted((sum(len(c.compress(b)) for b in blocks), i) for i, (_, c) in enumerate(compressors))
+    sizes = sorted((sum(len(c.compress(b)) for b in blocks), i) for i, (_, c, _) in enumerate(compressors))
     best = compressors[sizes[0][1]][0]
     if len(sizes) == 1:
         return best, 1.0, False
+    if sizes[0][0] == sizes[1][0] and sizes[0][0] * min_margin < 1:
+        sizes = sorted((_code_length(data, compressors[i][2]), i)
+                       for size, i in sizes if size == sizes[0][0])
+        best = compressors[sizes[0][1]][0]
     margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
     return best, margin, margin < min_margin
 
@@ -107,7 +142,7 @@ def identify(
 
     Defined cases: a null, empty or letterless text, and any text when nothing
     was learned, is ``und`` with score 0 and rejected; with one language only,
-    each text is of it with score 1; equal totals go to the language that comes
+    each text is of it with score 1; equal measures go to the language that comes
     first in ``dictionaries`` (``fit`` puts the most frequent first) with score
     0; repeated rows agree; columns of the new
     names are replaced. Narrow; no shuffle.
