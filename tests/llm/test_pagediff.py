@@ -71,3 +71,25 @@ def test_odd_rows(spark):
         (1, "no url"), (2, "none"), (None, ""), (3, ""), (4, "\n".join(["long words"] * 40_000)), (4, "twin"), (5, "twin")],
         key=repr)
     assert extracted(spark, []) == []
+
+
+def test_copies_are_no_template(spark):
+    body = lambda i: " ".join(f"word{i}x{j}" for j in range(60))
+    page = lambda i, more="": f"<div>Menu<p>Home<p>{body(i)}<p>{body(i)[::-1]}{more}<p>All rights reserved</div>"
+    text = lambda i, more="": f"{body(i)}\n{body(i)[::-1]}{more}"
+    rows, wanted = [], []
+    for i in range(6):
+        for j in range(7):
+            more = f" seen {j}" if i % 2 and j % 3 else ""
+            rows.append((10 * i + j, f"http://h.example/{i}?a={j}" if i % 3 else f"http://h.example/{i}/{j}", page(i, more)))
+            wanted.append((10 * i + j, text(i, more)))
+    # One run of copies over many ranges, with another page at its end alone.
+    rows += [(1000 + j, f"http://run.example/a/{j:03}", page(7, f" at {j % 3}")) for j in range(90)]
+    wanted += [(1000 + j, text(7, f" at {j % 3}")) for j in range(90)]
+    rows += [(2000, "http://run.example/b", page(8, " " + body(9)))]
+    wanted += [(2000, text(8, " " + body(9)))]
+    # Copies alone: nothing is known to be template.
+    rows += [(3000 + j, "http://same.example/", "<p>Head<p>The text") for j in range(5)]
+    wanted += [(3000 + j, "Head\nThe text") for j in range(5)]
+    for ranges in (1, 4, 40):
+        assert extracted(spark, rows, ranges) == sorted(wanted, key=repr)

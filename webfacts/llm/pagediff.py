@@ -5,6 +5,10 @@ template are neighbours. Each page is cut into lines, one per block of the page;
 a longest common subsequence aligns the lines of neighbours, and lines that both
 have are the template's: menus, notices, footers.
 
+Copies of a page, of the same path or near it, say nothing about the template: a
+page is differenced with the nearest pages before and after it that are not nearly
+the same.
+
 Two things that differencing alone gets wrong are set right by the markup: an
 article that two pages both carry is not template, so lines inside an article or
 main element stay; and parts that markup names as no content (navigation,
@@ -17,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -57,6 +62,9 @@ _CLOSED_BY = {
     "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "option": frozenset(["option"])}
 
 ARTICLE, BODY, OTHER = "a", "b", "o"
+# Pages are copies when this part of the words of the longer one is in both.
+NEARLY = 0.9
+_ROWS_AT_ONCE = 256
 
 
 def _beside(name: str, attributes: str) -> bool:
@@ -247,14 +255,17 @@ def extract(
 ) -> DataFrame:
     """``(page_id, url, text, n_chars, shared_lines)``, one row per page.
 
-    The pages are shuffled once, into ranges of (host, path, page_id); a range
-    gets the last page of the range before and the first of the one after as
-    rows that are only looked at. A page is compared with both neighbours of its host;
-    ``shared_lines`` counts its lines that one of them has.
+    The pages are shuffled once, into ranges of (host, path, page_id). A page is
+    compared with the nearest page before and the nearest after it, of its host,
+    that is no copy (``NEARLY``); ``shared_lines`` counts its lines that one of
+    them has. A range gets the last page of the range before and the first of the
+    one after as rows that are only looked at; where a run of copies goes on over
+    that border, the nearest page beyond the border that is no copy as well.
 
     Defined cases: null markup has empty text; pages whose URL is null or has no host are one
-    host; a null id comes first; repeated pages are neighbours of each other,
-    which leaves their articles alone; an empty table gives an empty table;
+    host; a null id comes first; repeated pages and pages that differ in few words
+    are no template of each other, so a host of copies alone keeps all but the
+    parts that markup names as no content; an empty table gives an empty table;
     other columns are left out.
     """
     least = -(1 << 63)
@@ -270,16 +281,10 @@ def extract(
         F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(i).cast("long").alias("id"))
         for h, p, i in keys])
     placed = rows.withColumn("_part", range_of(F.col("_key"), cuts, literal))
-    ends = sorted(
-        ((r["_part"], r["a"], r["b"]) for r in placed.groupBy("_part").agg(
-            F.min("_key").alias("a"), F.max("_key").alias("b")).collect()), key=lambda r: r[0])
-    looks = [(part, place, tuple(key))
-             for i, (part, _, _) in enumerate(ends)
-             for place, other, which in ((0, i - 1, 2), (2, i + 1, 1)) if 0 <= other < len(ends)
-             for key in [ends[other][which]]]
+    looks = _looks(rows, placed)
     both = placed.withColumn("_place", F.lit(1))
     if looks:
-        # At most two rows for each range, whose number the session's partitions bound.
+        # A few rows for each range, whose number the session's partitions bound.
         wanted = F.broadcast(pages.sparkSession.createDataFrame(
             looks, "_for int, _at int, _key struct<host:string,path:string,id:bigint>"))
         seen = (
@@ -304,33 +309,156 @@ def _key_cuts(rows: DataFrame, ranges: int, each: int = 32) -> list[tuple]:
     return sorted(picked)
 
 
+def _looks(rows: DataFrame, placed: DataFrame) -> list[tuple]:
+    """``(range, place, key)`` of the pages that a range looks at beyond its ends,
+    where its host goes on there."""
+    ends = sorted(
+        ((r["_part"], tuple(r["a"]), tuple(r["b"])) for r in placed.groupBy("_part").agg(
+            F.min("_key").alias("a"), F.max("_key").alias("b")).collect()), key=lambda r: r[0])
+    # Ranges and pages on both sides of each border inside a host.
+    borders = [(one[0], one[2], two[0], two[1]) for one, two in zip(ends, ends[1:]) if one[2][0] == two[1][0]]
+    looks = [look for low, last, high, first in borders for look in ((high, 0, last), (low, 2, first))]
+    if not borders:
+        return looks
+    key = "struct<host:string,path:string,id:bigint>"
+    edges = F.broadcast(rows.sparkSession.createDataFrame(
+        [(i, side, b[2 * side + 1]) for i, b in enumerate(borders) for side in (0, 1)],
+        f"_border int, _side int, _key {key}"))
+    pairs = (
+        rows.join(edges, "_key").groupBy("_border", "_side").agg(F.min("html").alias("html"))
+        .groupBy("_border").agg(F.max(F.when(F.col("_side") == 0, F.col("html"))).alias("a"),
+                                F.max(F.when(F.col("_side") == 1, F.col("html"))).alias("b")))
+
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for border, one, two in zip(*(c.to_pylist() for c in batch.columns)):
+                if _Page((), page_lines(one or "")).nearly(_Page((), page_lines(two or ""))):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([border], pa.int32()), pa.array([two], pa.string())], names=["border", "html"])
+
+    # At most one page for each border, of which few lie in a run of copies.
+    runs: dict[str, list] = {}
+    for r in pairs.mapInArrow(copies, "border int, html string").collect():
+        low, last, high, first = borders[r["border"]]
+        runs.setdefault(first[0], []).append((r["border"], last, first, r["html"]))
+    if not runs:
+        return looks
+
+    def beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages = {i: _Page((), page_lines(page or "")) for own in runs.values() for i, _, _, page in own}
+        best: dict[tuple, tuple] = {}
+        for batch in batches:
+            for found, markup in zip(batch.column(0).to_pylist(), batch.column(1)):
+                at = (found["host"], found["path"], found["id"])
+                page = None
+                for border, last, first, _ in runs[at[0]]:
+                    place = 0 if _order(at) < _order(last) else 2 if _order(at) > _order(first) else None
+                    held = best.get((border, place))
+                    if place is None or held and (_order(held) >= _order(at)) == (place == 0):
+                        continue
+                    page = page or _Page((), page_lines(markup.as_py() or ""))
+                    if not page.nearly(pages[border]):
+                        best[border, place] = at
+        for (border, place), (host, path, own) in best.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in ((border, pa.int32()), (place, pa.int32()), (host, pa.string()),
+                                               (path, pa.string()), (own, pa.int64()))],
+                names=["border", "place", "host", "path", "id"])
+
+    hosts = F.broadcast(rows.sparkSession.createDataFrame([(h,) for h in sorted(runs)], "_host string"))
+    others = (
+        rows.join(hosts, F.col("_key.host") == F.col("_host"), "left_semi").select("_key", "html")
+        .mapInArrow(beyond, "border int, place int, host string, path string, id long")
+        .groupBy("border", "place").agg(F.min(F.struct("host", "path", "id")).alias("a"),
+                                        F.max(F.struct("host", "path", "id")).alias("b")).collect())
+    for r in others:
+        low, _, high, _ = borders[r["border"]]
+        looks.append((high, 0, tuple(r["b"])) if r["place"] == 0 else (low, 2, tuple(r["a"])))
+    return looks
+
+
+def _order(key: tuple) -> tuple:
+    """Keys in Spark's order, that of the bytes of their strings."""
+    host, path, own = key
+    return host.encode("utf-8", "surrogatepass"), path.encode("utf-8", "surrogatepass"), own
+
+
+class _Page:
+    """Pages with the same lines in a row, and what their neighbours share."""
+
+    def __init__(self, group: tuple, lines: list[tuple[str, str]]):
+        self.group = group
+        self.lines = lines
+        self.plain = [line for _, line in lines]
+        self.words = Counter(w for zone, line in lines if zone != OTHER for w in line.split())
+        self.n = sum(self.words.values())
+        self.rows: list[tuple] = []
+        self.shared: set[int] = set()
+        self.before: _Page | None = None
+
+    def nearly(self, other: _Page) -> bool:
+        least, most = sorted((self.n, other.n))
+        if least < NEARLY * most:
+            return False
+        few, many = sorted((self.words, other.words), key=len)
+        return sum(min(n, many[w]) for w, n in few.items()) >= NEARLY * most
+
+
 def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "url", "text", "n_chars", "shared_lines"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-    # The page before, which still has to meet its other neighbour.
-    held = None
-    done: list[tuple] = []
-
-    def close() -> None:
-        if held and held[4] == 1:
-            text = main_text(held[5], held[6])
-            done.append((held[0], held[1], text, len(text), len(held[6])))
+    # The last page, and it and those before it that still have to meet a page
+    # after them which is no copy.
+    last: _Page | None = None
+    waiting: list[_Page] = []
+
+    def closed(pages: list[_Page]) -> Iterator[pa.RecordBatch]:
+        for page in pages:
+            text = main_text(page.lines, page.shared) if page.rows else ""
+            for at in range(0, len(page.rows), _ROWS_AT_ONCE):
+                rows = [(*row, text, len(text), len(page.shared)) for row in page.rows[at:at + _ROWS_AT_ONCE]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     for batch in batches:
-        for page_id, url, page, host, part, place in zip(
+        for page_id, url, markup, host, part, place in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
                 batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist()):
-            lines = page_lines(page.as_py() or "")
-            shared: set[int] = set()
-            if held and held[3] == part and held[2] == host:
-                before, shared = common_lines([x for _, x in held[5]], [x for _, x in lines])
-                held[6].update(before)
-            close()
-            held = (page_id, url, host, part, place, lines, shared)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in done], k) for i, k in enumerate(kinds)], names=names)
-        done = []
-    close()
-    if done:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in done], k) for i, k in enumerate(kinds)], names=names)
+            lines = page_lines(markup.as_py() or "")
+            if last and last.group == (part, host) and last.lines == lines:
+                if place == 1:
+                    last.rows.append((page_id, url))
+                continue
+            page = _Page((part, host), lines)
+            if place == 1:
+                page.rows.append((page_id, url))
+            if last and last.group == page.group:
+                copy = page.nearly(last)
+                if not copy:
+                    still = []
+                    done = []
+                    for one in waiting:
+                        if one is not last and one.nearly(page):
+                            still.append(one)
+                            continue
+                        if one.rows:
+                            one.shared.update(common_lines(one.plain, page.plain)[0])
+                        done.append(one)
+                    yield from closed(done)
+                    waiting = still
+                other = last if not copy else last.before
+                if other and copy and page.nearly(other):
+                    other = other.before
+                if other and not page.nearly(other):
+                    page.before = other
+                    # A page further back is not asked for.
+                    if other.before:
+                        other.before.before = None
+                    if page.rows:
+                        page.shared.update(common_lines(page.plain, other.plain)[0])
+            else:
+                yield from closed(waiting)
+                waiting = []
+            waiting.append(page)
+            last = page
+    yield from closed(waiting)
