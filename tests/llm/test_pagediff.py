@@ -93,3 +93,18 @@ def test_copies_are_no_template(spark):
     wanted += [(3000 + j, "Head\nThe text") for j in range(5)]
     for ranges in (1, 4, 40):
         assert extracted(spark, rows, ranges) == sorted(wanted, key=repr)
+
+
+@pytest.mark.parametrize("page, lines", [
+    ("<div class='layout has-sidebar'>x<article>t</article><div class=sidebar>s</div></div>", ["b:x", "a:t", "o:s"]),
+    ("<div class='page with-nav'><p>t</div><div class=no-sidebar>u</div>", ["b:t", "b:u"]),
+    ("<div id='social-wrapper'><main>t<div class=share>s</div>u</main></div>", ["a:t", "o:s", "a:u"]),
+    ("<form action=x>f<article>t</article></form>", ["o:f", "a:t"]),
+    ("<div class=widget>w<article>t<form>f</form></article></div>", ["o:w", "a:t", "o:f"]),
+    ("<article class='post comments-open'>t</article><article class='comment-body'>c</article>", ["a:t", "o:c"]),
+    ("<article>t</article><div class=related><article>r</article></div>", ["a:t", "o:r"]),
+    ("<div class=sidebar><article>t</article><div class=related><article>r</article></div></div>", ["a:t", "o:r"]),
+    ("<nav><article>n</article></nav><div class='site-footer'>z</div>", ["o:n", "o:z"]),
+])
+def test_article_inside_named_parts(page, lines):
+    assert [f"{zone}:{line}" for zone, line in pd.page_lines(page)] == lines

@@ -46,16 +46,22 @@ _BLOCK = frozenset(
     "address details summary hr menu dialog center".split())
 _SPACED = frozenset("br td th button".split())
 _CONTENT = frozenset("article main".split())
-_OTHER = frozenset("nav header footer aside form menu dialog button fieldset".split())
+_OTHER = frozenset("nav header footer aside menu dialog button fieldset".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu "
-                   "menubar alertdialog form".split())
-# Words of class and id attributes that name parts beside the article.
+                   "menubar alertdialog".split())
+# Class names and ids that name parts beside the article, alone or as the first
+# or last word of a name.
 _NAMED = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "cookie cookies consent gdpr notice notices notification alert newsletter subscribe signup "
     "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment "
     "comments disqus respond reply replies social share sharing related recommended popup modal "
     "overlay widget pagination pager toolbar skip".split())
+# Names with one of these words tell what a part has or is like: has-sidebar, comments-open.
+_STATES = frozenset(
+    "has have with no without is not hide show open opened closed enabled disabled active wrapper "
+    "wrap layout container page".split())
+_COMMENT = frozenset(["comment", "comments"])
 _WORD = re.compile(r"[a-z]+")
 _CLOSED_BY = {
     "p": _BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]),
@@ -67,21 +73,35 @@ NEARLY = 0.9
 _ROWS_AT_ONCE = 256
 
 
-def _beside(name: str, attributes: str) -> bool:
+def _named(value: str, content: bool) -> bool:
+    """Does a name in a class or id attribute name a part beside the article?
+    An article or main is one only as a comment."""
+    for token in value.split():
+        words = _WORD.findall(token)
+        if not words or len(words) > 1 and not _STATES.isdisjoint(words):
+            continue
+        if words[0] in _COMMENT if content else words[0] in _NAMED or words[-1] in _NAMED:
+            return True
+    return False
+
+
+def _beside(name: str, attributes: str) -> str | None:
+    """``"sure"`` for a part beside the article by its element or role,
+    ``"named"`` for a form and one by class or id alone."""
     if name in _OTHER:
-        return True
-    if not attributes or name in ("html", "body") or name in _CONTENT and "omment" not in attributes:
-        return False
+        return "sure"
+    found = "named" if name == "form" else None
+    content = name in _CONTENT
+    if not attributes or name in ("html", "body") or content and "omment" not in attributes:
+        return found
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         key = key.lower()
-        if key == "role" and value in _ROLES:
-            return True
-        if key == "aria-hidden" and value == "true":
-            return True
-        if key in ("class", "id") and not _NAMED.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+        if key == "role" and value in _ROLES or key == "aria-hidden" and value == "true":
+            return "sure"
+        if key == "role" and value == "form" or key in ("class", "id") and _named(value, content):
+            found = "named"
+    return found
 
 
 def page_lines(page: str) -> list[tuple[str, str]]:
@@ -89,14 +109,18 @@ def page_lines(page: str) -> list[tuple[str, str]]:
 
     One pass with a stack of open elements. The content of scripts and the like
     is skipped up to its own closing tag; an unclosed element ends with its
-    parent.
+    parent. An article inside a form or a part named by class or id alone counts
+    where no article is inside fewer of them: such a part may hold the page, or
+    be a list of other articles.
     """
-    out: list[tuple[str, str]] = []
+    out: list[tuple[str, str, int]] = []
     line: list[str] = []
     stack: list[str] = []
-    # Depths at which an article, a part beside it and an unread part begin.
+    # Depths at which an article, a part beside it, one by name alone and an
+    # unread part begin.
     inside: list[int] = []
     beside: list[int] = []
+    named: list[int] = []
     unread: list[int] = []
 
     def text(raw: str) -> None:
@@ -108,14 +132,17 @@ def page_lines(page: str) -> list[tuple[str, str]]:
             words = " ".join(html.unescape("".join(line)).split())
             line.clear()
             if words:
-                zone = OTHER if beside else ARTICLE if inside else BODY
-                out.append((zone, words))
+                if beside or named and (not inside or named[-1] > inside[-1]):
+                    zone = OTHER
+                else:
+                    zone = ARTICLE if inside else BODY
+                out.append((zone, words, len(named)))
 
     def shut(depth: int) -> None:
         if any(name in _BLOCK for name in stack[depth:]):
             flush()
         del stack[depth:]
-        for marks in (inside, beside, unread):
+        for marks in (inside, beside, named, unread):
             while marks and marks[-1] >= depth:
                 marks.pop()
 
@@ -160,14 +187,15 @@ def page_lines(page: str) -> list[tuple[str, str]]:
             continue
         if name in _RAW:
             unread.append(len(stack))
-        elif _beside(name, attributes):
+        elif part := _beside(name, attributes):
             flush()
-            beside.append(len(stack))
+            (beside if part == "sure" else named).append(len(stack))
         elif name in _CONTENT or "role" in attributes and re.search(r"role\s*=\s*[\"']?main", attributes):
             inside.append(len(stack))
         stack.append(name)
     flush()
-    return out
+    least = min((n for zone, _, n in out if zone == ARTICLE), default=0)
+    return [(OTHER if zone == ARTICLE and n > least else zone, words) for zone, words, n in out]
 
 
 def common_lines(one: Sequence[str], two: Sequence[str]) -> tuple[set[int], set[int]]:
