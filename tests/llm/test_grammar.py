@@ -77,3 +77,26 @@ def test_words_encode_as_whole_texts():
                 found = encoder.encode(texts)
                 assert [np.frombuffer(f, "<u4").tolist() for f in found] == [
                     encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(3)
+    ids = np.minimum(rng.zipf(1.2, 200_000), 40_000).astype(np.uint32)
+    copies = np.tile(rng.integers(0, 40_000, 700, dtype=np.uint32), 100)
+    for flat, sizes in ((ids, [50_000] * 4), (copies, [700] * 100), (np.full(5000, 7, np.uint32), [5000])):
+        sequence, symbols, rules = grammar.compress(flat, np.array(sizes), 49408)
+        pairs = {}
+        at = 0
+        for n in symbols:
+            own = sequence[at:at + n].tolist()
+            at += n
+            before = None
+            for pair in zip(own, own[1:]):
+                before = None if pair == before else pair
+                if before:
+                    pairs[pair] = pairs.get(pair, 0) + 1
+        assert max(pairs.values(), default=0) < grammar.LEAST_COUNT
+        assert (grammar.expand(sequence, rules, 49408) == flat).all()
+    # A document copied often is one symbol.
+    sequence, symbols, rules = grammar.compress(copies, np.array([700] * 100), 49408)
+    assert len(sequence) == 100

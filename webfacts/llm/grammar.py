@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,9 @@ from webfacts.llm.ranges import cut_points, in_ranges, range_of
 from webfacts.llm.tokens import encoder
 
 SHARD_TOKENS = 1 << 19
-# The grammar grows while pairs occur this often; limits of a round and of the
-# number of rounds only bound the work, never what can be decoded.
+# The grammar grows while pairs occur this often, so many new symbols a round.
 LEAST_COUNT = 24
 PAIRS_PER_ROUND = 4000
-ROUNDS = 4
 _TEXTS_AT_ONCE = 256
 _BUCKET_BITS = 19
 
@@ -47,16 +46,52 @@ FILE_SCHEMA = (
     "symbols array<long>, rules binary, lengths binary, sequence binary, width int, first_new long")
 
 
+def _ranks(
+    sequence: np.ndarray, closes: np.ndarray, kind: np.ndarray, least: int, most: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent pairs, best first, as ``left << 32 | right``, and the
+    rank of the pair that begins at each place but the last, ``most`` for others.
+
+    Exact: one kind of each hash bucket is counted by bucket, and the other
+    kinds of the buckets that are full enough are sorted.
+    """
+    left, right = sequence[:-1], sequence[1:]
+    bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(
+        32 - _BUCKET_BITS)
+    inside = ~closes[:-1]
+    heavy = np.bincount(bucket[inside], minlength=len(kind)) >= least
+    at = np.flatnonzero(inside & heavy[bucket])
+    bucket = bucket[at]
+    pairs = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+    kind[bucket] = pairs
+    own = kind[bucket] == pairs
+    counts = np.bincount(bucket[own], minlength=len(kind))
+    often = np.flatnonzero(counts >= least)
+    others, which, sums = np.unique(pairs[~own], return_inverse=True, return_counts=True)
+    rare = np.flatnonzero(sums >= least)
+    kinds = np.concatenate([kind[often], others[rare]])
+    best = np.argsort(-np.concatenate([counts[often], sums[rare]]), kind="stable")[:most]
+    order = np.full(len(often) + len(rare), most, dtype=np.int32)
+    order[best] = np.arange(len(best), dtype=np.int32)
+    by_bucket = np.full(len(kind), most, dtype=np.int32)
+    by_bucket[often] = order[:len(often)]
+    by_other = np.full(len(others), most, dtype=np.int32)
+    by_other[rare] = order[len(often):]
+    rank = np.full(len(left), most, dtype=np.int32)
+    rank[at[own]] = by_bucket[bucket[own]]
+    rank[at[~own]] = by_other[which]
+    return kinds[best], rank
+
+
 def compress(
     ids: np.ndarray, sizes: np.ndarray, first_new: int, least: int = LEAST_COUNT,
-    per_round: int = PAIRS_PER_ROUND, rounds: int = ROUNDS,
+    per_round: int = PAIRS_PER_ROUND,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(sequence, symbols per document, rules)`` of documents of ``sizes`` ids.
 
-    Pairs are counted without sorting, one kind for each hash bucket; a kind that
-    loses its bucket to another has a chance in the next round. In a round,
-    places where chosen pairs overlap go to the more frequent pair, and among
-    equals to the left one.
+    Rounds go on until no pair occurs ``least`` times or none can be replaced
+    twice. In a round, places where chosen pairs overlap go to the more frequent
+    pair, and among equals, as in a row of one id, to every other one from the left.
     """
     sequence = ids.astype(np.uint32)
     closes = np.zeros(len(sequence), dtype=bool)
@@ -64,36 +99,34 @@ def compress(
     rules: list[np.ndarray] = []
     known = 0
     kind = np.zeros(1 << _BUCKET_BITS, dtype=np.uint64)
-    none = np.int32(per_round)
-    for _ in range(rounds):
-        if len(sequence) < 2:
-            break
-        left, right = sequence[:-1], sequence[1:]
-        bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(
-            32 - _BUCKET_BITS)
-        pairs = (left.astype(np.uint64) << np.uint64(32)) | right
-        inside = ~closes[:-1]
-        kind[bucket] = pairs
-        same = (kind[bucket] == pairs) & inside
-        counts = np.bincount(bucket[same], minlength=len(kind))
-        often = np.flatnonzero(counts >= least)
-        if not len(often):
+    while len(sequence) >= 2:
+        chosen, here = _ranks(sequence, closes, kind, least, per_round)
+        if not len(chosen):
             break
-        often = often[np.argsort(-counts[often], kind="stable")[:per_round]]
-        order = np.full(len(kind), none, dtype=np.int32)
-        order[often] = np.arange(len(often), dtype=np.int32)
-        rank = np.full(len(sequence) + 1, none, dtype=np.int32)
-        rank[1:-1] = np.where(same, order[bucket], none)
-        here = rank[1:-1]
-        place = np.flatnonzero((here < none) & (here < rank[:-2]) & (here <= rank[2:]))
-        used = np.bincount(here[place], minlength=len(often))
+        # Places in a row of one rank are counted from the first that is free.
+        some = np.flatnonzero(here < per_round)
+        rank = here[some]
+        follows = np.diff(some, prepend=-2) == 1
+        ahead = np.where(follows, np.roll(rank, 1), per_round)
+        behind = np.where(np.append(follows[1:], False), np.roll(rank, -1), per_round)
+        equal = ahead == rank
+        free = (rank <= ahead) & (rank <= behind)
+        if equal.any():
+            free |= equal & (rank <= behind)
+            begins = np.flatnonzero(~equal)
+            nth = np.arange(len(some)) - np.repeat(begins, np.diff(np.append(begins, len(some))))
+            late = np.repeat(ahead[begins] < rank[begins], np.diff(np.append(begins, len(some))))
+            free &= (nth + late) % 2 == 0
+        place, here = some[free], rank[free]
+        used = np.bincount(here, minlength=len(chosen))
         worth = used >= 2
-        place = place[worth[here[place]]]
+        kept = worth[here]
+        place, here = place[kept], here[kept]
         if not len(place):
             break
         number = np.cumsum(worth) - 1
-        rules.append(kind[often][worth])
-        sequence[place] = (first_new + known + number[here[place]]).astype(np.uint32)
+        rules.append(chosen[worth])
+        sequence[place] = (first_new + known + number[here]).astype(np.uint32)
         known += int(worth.sum())
         closes[place] = closes[place + 1]
         keep = np.ones(len(sequence), dtype=bool)
@@ -125,20 +158,16 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_new: int) -> np.ndarray
         texts.append((texts[left - first_new] if left >= first_new else [left])
                      + (texts[right - first_new] if right >= first_new else [right]))
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    flat = np.array([i for t in texts for i in t], dtype=np.uint32)
+    flat = np.fromiter(chain.from_iterable(texts), dtype=np.uint32, count=int(sizes.sum()))
     begins = np.cumsum(sizes) - sizes
     size = np.ones(len(symbols), dtype=np.int64)
     size[new] = sizes[symbols[new] - first_new]
-    at = np.cumsum(size) - size
-    out = np.empty(int(size.sum()), dtype=np.uint32)
-    out[at[~new]] = symbols[~new]
-    which, where, many = symbols[new] - first_new, at[new], size[new]
-    while len(which):
-        # One id of every symbol that has that many, from the last to the first.
-        many = many - 1
-        out[where + many] = flat[begins[which] + many]
-        left_over = many > 0
-        which, where, many = which[left_over], where[left_over], many[left_over]
+    out = np.repeat(symbols.astype(np.uint32), size)
+    # Where the ids of each new symbol lie in ``flat``, from where they go.
+    many = size[new]
+    source = np.repeat(begins[symbols[new] - first_new] - (np.cumsum(many) - many), many)
+    source += np.arange(len(source))
+    out[np.repeat(new, size)] = flat[source]
     return out
 
 
