@@ -1,3 +1,5 @@
+import random
+
 from webfacts.llm.fingerprint import (
     add_fingerprint, compare_neighbours, edited, fingerprint, likeness)
 
@@ -69,3 +71,16 @@ def test_column(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert [r["fingerprint"] for r in add_fingerprint(docs).orderBy("doc_id").collect()] == [
         fingerprint("a b"), "1::"]
+
+
+def test_every_part_of_a_repetitive_text_weighs():
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+    for _ in range(12):
+        passage, other = words(40) + " ", words(40) + " "
+        text = passage * 1000
+        own = fingerprint(text)
+        assert likeness(own, fingerprint(edited(text, other * 1000))) < 0.95
+        assert likeness(own, fingerprint(passage * 200 + words(32_000))) < 0.8
+        assert likeness(own, fingerprint("some words before " + text)) > 0.75
+        assert likeness(own, fingerprint(passage * 900)) > 0.8

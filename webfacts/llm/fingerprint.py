@@ -4,9 +4,14 @@ A rolling hash of seven bytes ends a piece wherever its low bits are all set,
 so pieces depend on near bytes only and an edit changes few of them. Each piece
 gives three characters of its hash; the row of them is the signature. The block
 size is the largest power of two that still gives ``LEAST`` pieces, and a
-fingerprint holds the signatures of that size and of twice that size. Two
+fingerprint holds the signatures of that size and of twice that size. Where a
+passage is repeated, triggers can jump from none to very many between two sizes;
+pieces beyond ``MOST`` are then joined, level by level: equal neighbours in twos,
+others up to the next that is smaller than both its neighbours. So each part of
+the text weighs, and groups depend on near pieces only. Two
 fingerprints are compared at a block size both have, by the edit distance (one
-for an insertion or deletion, two for a replacement) of their pieces.
+for an insertion or deletion, two for a replacement) of their pieces, joined to
+the same level.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from webfacts.llm.ranges import cut_points, in_ranges, range_of
 
 WINDOW = 7
 LEAST = 32
-# A signature has this many pieces at most; the last one takes all the rest.
+# A signature has this many pieces at most; more are joined.
 MOST = 128
 _RUN = 3
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
@@ -51,17 +56,44 @@ def _triggers(data: bytes) -> np.ndarray:
 def _signature(data: bytes, ends: np.ndarray) -> str:
     pieces: list[str] = []
     begin = 0
-    stops = ends[:MOST - 1].tolist()
+    stops = ends.tolist()
     if not stops or stops[-1] < len(data):
         stops.append(len(data))
-    if len(ends) >= MOST:
-        stops[-1] = len(data)
     for end in stops:
         piece = _PAIRS[zlib.crc32(data[begin:end]) & 0x3FFFF]
         begin = end
         if pieces[-_RUN:] != [piece] * _RUN:
             pieces.append(piece)
-    return "".join(pieces)
+    level = 0
+    while len(pieces) > MOST:
+        pieces, level = _joined(pieces), level + 1
+    return (f"{level}*" if level else "") + "".join(pieces)
+
+
+def _joined(pieces: list[str]) -> list[str]:
+    """Pieces of the next level, about half as many or fewer."""
+    out: list[str] = []
+    group: list[str] = []
+
+    def close() -> None:
+        if group:
+            out.append(_PAIRS[zlib.crc32("".join(group).encode()) & 0x3FFFF])
+            group.clear()
+
+    last = None
+    for piece, following in zip(pieces, [*pieces[1:], None]):
+        if piece == last:
+            # The second of two equal pieces ends their group.
+            group.append(piece)
+            close()
+            last = None
+            continue
+        if piece == following or following is not None and last is not None and piece < min(last, following):
+            close()
+        group.append(piece)
+        last = piece
+    close()
+    return out
 
 
 def fingerprint(text: str) -> str:
@@ -81,14 +113,19 @@ def fingerprint(text: str) -> str:
     return f"{size}:{_signature(data, ends)}:{_signature(data, double)}"
 
 
-def _pieces(signature: str) -> list[str]:
-    return [signature[i:i + 3] for i in range(0, len(signature), 3)]
+def _pieces(signature: str) -> tuple[int, list[str]]:
+    level, _, letters = signature.rpartition("*")
+    return int(level or 0), [letters[i:i + 3] for i in range(0, len(letters), 3)]
 
 
 def _same_size(a: str, b: str) -> float:
     if a == b:
         return 1.0
-    one, two = _pieces(a), _pieces(b)
+    (level, one), (other, two) = _pieces(a), _pieces(b)
+    for _ in range(other - level):
+        one = _joined(one)
+    for _ in range(level - other):
+        two = _joined(two)
     if not one or not two:
         return 0.0
     where: dict[str, int] = {}
