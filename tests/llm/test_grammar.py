@@ -100,3 +100,14 @@ def test_no_frequent_pair_is_left():
     # A document copied often is one symbol.
     sequence, symbols, rules = grammar.compress(copies, np.array([700] * 100), 49408)
     assert len(sequence) == 100
+
+
+def test_strings_of_added_tokens():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|startoftext|>", "x<|EndOfText|>. y", "a b", "<|endoftext|>\n<|endoftext|>z"]
+    for name, blanks in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        path = tokenizer_file(name)
+        found = WordEncoder(path, blanks).encode(texts)
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [
+            Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]

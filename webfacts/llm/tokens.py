@@ -29,7 +29,8 @@ class WordEncoder:
     ``blanks=True`` is for byte-level vocabularies whose tokens begin with the
     blank before a word, ``blanks=False`` for those that drop white space and
     case. ``cache_words`` bounds the memory, not the result: a full cache is
-    emptied. Strings of special tokens inside a text are ordinary text.
+    emptied. Texts that hold the string of an added token are encoded whole, as the
+    library finds such tokens before all else.
 
     A word is looked up as it stands. One not seen before is made of its letters
     and the marks after them, between which both pre-tokenizers cut; so
@@ -40,14 +41,16 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # In any case of letters, as words are looked up in lower case.
+        self.added = re.compile("|".join(added) or r"(?!)", re.I)
         self.blanks = blanks
         self.cache_words = cache_words
         self.cache: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _words(self, text: str) -> list[str] | None:
-        if _ODD_SPACE.search(text):
+        if _ODD_SPACE.search(text) or self.added.search(text):
             return None
         if not self.blanks:
             if not text.isascii() and (_ODD_CASE.search(text) or not unicodedata.is_normalized("NFC", text)):
