@@ -15,7 +15,7 @@ from webfacts.llm.fingerprint import edited, fingerprint, likeness
 
 DATA = "/root/testdata/sf0.001"
 SQL = oracle.oracle_sql()
-TABLES = ("documents", "embeddings", "pages", "conversations")
+TABLES = ("documents", "embeddings", "pages", "conversations", "labels")
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +38,7 @@ def result(spark, name):
 def test_all_are_registered():
     named = entry_points.queries()
     numbers = [n.split("_")[0] for n in named if n.startswith("op")]
-    assert sorted(numbers) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(numbers) == sorted(f"op{i}" for i in range(1, 14))
     assert "pipeline" in named
     assert set(SQL) <= set(named)
 
@@ -156,3 +156,18 @@ def test_op10_on_documents_not_learned_from(spark, duck):
         assert 0 <= r["score"] <= 1
     held = [r for r in rows if r["held_out"]]
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.95 * len(held)
+
+
+def test_op13_base_counts_and_verdicts(spark, duck, documents):
+    from test_fertility import plain_base
+
+    quality = dict(duck.execute("SELECT doc_id, quality FROM labels").fetchall())
+    rows = result(spark, "op13_fertility_rules").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(documents)
+    for r in rows:
+        counts = plain_base(documents[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == counts
+        assert r["base_failed"] == (counts[0] < 50 or 100 * counts[4] > 50 * counts[0])
+        assert not (r["kept"] and r["base_failed"])
+        if quality.get(r["doc_id"]) == 1:
+            assert r["kept"] or r["base_failed"]

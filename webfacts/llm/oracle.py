@@ -129,8 +129,99 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM ranked JOIN chosen USING (skey)
 """
 
+_AUDIT = r"""
+WITH rows AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first_id FROM rows GROUP BY text),
+marks AS (
+    SELECT doc_id, part, '' || CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(r.text, '[^A-Z]', '', 'g')) > 10 * length(r.text)
+            THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(r.text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN first_id < doc_id THEN 'E' ELSE '' END AS fails
+    FROM rows r JOIN firsts f ON f.text = r.text),
+known AS (
+    SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+    FROM labels GROUP BY doc_id),
+kinds AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+    FROM marks LEFT JOIN known USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (
+    SELECT filter_order, step::INTEGER AS step, filter_order[step:step] AS own,
+        filter_order[1:step - 1] AS before
+    FROM orders, range(1, 6) r(step)),
+removals AS (
+    SELECT part, own, sum(n) AS shapley FROM kinds, steps
+    WHERE contains(fails, own) AND translate(before, fails, '') = before GROUP BY ALL)
+SELECT k.part, filter_order, step,
+    sum(CASE WHEN translate(before || s.own, fails, '') = before || s.own THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN contains(fails, s.own) AND translate(before, fails, '') = before THEN n ELSE 0 END)::BIGINT
+        AS removed,
+    sum(CASE WHEN contains(fails, s.own) AND translate(before, fails, '') <> before THEN n ELSE 0 END)::BIGINT
+        AS redundant,
+    sum(CASE WHEN fails = s.own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN contains(fails, s.own) AND translate(before, fails, '') = before THEN good ELSE 0 END)::BIGINT
+        AS good_lost,
+    sum(CASE WHEN contains(fails, s.own) AND translate(before, fails, '') = before THEN toxic ELSE 0 END)::BIGINT
+        AS toxic_lost,
+    coalesce(any_value(shapley), 0)::BIGINT AS shapley
+FROM kinds k CROSS JOIN steps s LEFT JOIN removals r ON r.part = k.part AND r.own = s.own
+GROUP BY k.part, filter_order, step
+"""
+
+
+def _codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """SQL of the vector codes: rounds of assigning and moving, written out."""
+    steps = [rf"""
+WITH numbers AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+size AS (SELECT ceil(max(len(v)) / {parts})::BIGINT AS w FROM numbers),
+keyed AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS k FROM numbers),
+cut AS MATERIALIZED (
+    SELECT k, part, list_transform(range(1, w + 1), lambda i: coalesce(v[part * w + i], 0)) AS p
+    FROM keyed, size, range({parts}) r(part)),
+book0 AS MATERIALIZED (SELECT part, (k - 1)::BIGINT AS entry, p AS e FROM cut WHERE k <= {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+    SELECT k, part, any_value(p) AS p, min(d) AS d, arg_min(entry, (d, entry)) AS entry
+    FROM (SELECT c.k, c.part, c.p, b.entry, list_sum(list_transform(range(1, len(p) + 1),
+            lambda i: (p[i] - e[i]) * (p[i] - e[i])))::BIGINT AS d
+        FROM cut c JOIN book{i} b ON b.part = c.part)
+    GROUP BY k, part)""")
+        if i < rounds:
+            steps.append(f"""sums{i} AS (
+    SELECT part, entry, place, sum(p[place])::BIGINT AS s, count(*) AS n
+    FROM near{i}, size, range(1, w + 1) r(place) GROUP BY ALL),
+means{i} AS (
+    SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY place) AS e FROM sums{i} GROUP BY part, entry),
+book{i + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, coalesce(m.e, b.e) AS e
+    FROM book{i} b LEFT JOIN means{i} m ON m.part = b.part AND m.entry = b.entry)""")
+    steps.append(f"""coded AS (
+    SELECT k, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+    FROM near{rounds} GROUP BY k),
+named AS (SELECT vec_id, label, code, error FROM coded JOIN keyed USING (k)),
+digest AS (
+    SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+    FROM book{rounds})
+SELECT vec_id, label, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM named, digest
+""")
+    return ",\n".join(steps[:-1]) + ",\n" + steps[-1]
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_shingle_join": _SHINGLE_JOIN, "op5_chat_round_trip": _CHAT,
-        "op6_exact_search": _SEARCH, "op9_mixture": _MIXTURE}
+        "op6_exact_search": _SEARCH, "op9_mixture": _MIXTURE,
+        "op11_vector_codes": _codes(), "op12_filter_audit": _AUDIT}

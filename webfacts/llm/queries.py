@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webfacts.llm import (
-    chat, fingerprint, grammar, langid, mixing, ngram_join, packing, pagediff, sharding, topk)
+    audit, chat, codes, fertility, fingerprint, grammar, langid, mixing, ngram_join, packing, pagediff, sharding,
+    topk)
 from webfacts.llm.columns import shared_folder, staged, word_count
 
 
@@ -98,7 +99,24 @@ def op10_compressed_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = fertility.judge(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"),
+                             tokenizer_file("byte_bpe_multi_50k.tiktoken"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "language", "failed")
+
+
 CATALOGUE = [
     op1_shingle_join, op2_piecewise_fingerprints, op3_repair_token_files,
     op4_page_differences, op5_chat_round_trip, op6_exact_search,
-    op7_differenced_packing, op8_interleaved_shards, op9_mixture, op10_compressed_language]
+    op7_differenced_packing, op8_interleaved_shards, op9_mixture, op10_compressed_language,
+    op11_vector_codes, op12_filter_audit, op13_fertility_rules]
