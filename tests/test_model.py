@@ -1,13 +1,13 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
-from pyspark.ml.feature import IndexToString
 from pyspark.sql import functions as F
 
 from conftest import plan_text
 from webfacts.constants import FEATURE_BRANCHES
-from webfacts.operators import features, model, relations
+from webfacts.operators import features, model, relations, svm
 
 ENTITY = "array<struct<text:string,label:string,`pos-tags`:string>>"
 
@@ -70,7 +70,7 @@ def test_split_depends_on_the_key_only(spark):
 
 def test_fit_predict_link(spark):
     rows = labelled(spark)
-    fitted = model.fit_relations(rows, max_iter=20)
+    fitted = model.fit_relations(rows)
     assert fitted.labels == ["Cause-Effect e2,e1", "Content-Container e2,e1", "Other nan"]
     predicted = model.predict_relations(rows, fitted)
     assert predicted.count() == rows.count()
@@ -79,15 +79,6 @@ def test_fit_predict_link(spark):
     plan = plan_text(predicted)
     assert "EvalPython" not in plan and "Cartesian" not in plan
 
-    # The join and MLlib's own transform agree on unseen words, too.
-    other = rows.withColumn("after_e2", F.lit("unseen words")).withColumn("e1", F.lit("thing1 zzz"))
-    vectors = features.vectorise(other, model.ROW, fitted.terms, fitted.terms.count())
-    by_mllib = IndexToString(inputCol="prediction", outputCol="said", labels=fitted.labels).transform(
-        fitted.svm.transform(vectors))
-    both = by_mllib.select(model.ROW, "said").join(
-        model.predict_relations(other, fitted).select(model.ROW, "preds"), model.ROW)
-    assert both.count() == other.count() and both.where("said <> preds").count() == 0
-
     dictionary = spark.createDataFrame(
         [("Other nan", None, None), ("Cause-Effect e2,e1", "has effect ", "link")],
         "relation string, relation_name string, link string")
@@ -104,8 +95,140 @@ def test_fit_predict_link(spark):
     assert facts.where("between_e1_e2 = 'near' AND preds <> 'Other nan'").count() == 0
 
 
+def dense(rows, fold=None):
+    """Vectors with the constant 1, labels and copies of training rows, in plain
+    Python; with a fold, the vocabulary is that of the rows outside it."""
+    cells = features.term_rows(rows, model.ROW, FEATURE_BRANCHES).collect()
+    labels = {r[model.ROW]: (r["label"], r["copies"]) for r in rows.collect()}
+    train = {k for k in labels if fold is None or fold[k]}
+    df = Counter((c["branch"], c["term"]) for c in cells if c[model.ROW] in train)
+    place = {t: i + 1 for i, t in enumerate(sorted(df))}
+    at = {k: i for i, k in enumerate(sorted(labels))}
+    x = np.zeros((len(at), len(place) + 1))
+    for c in cells:
+        term = (c["branch"], c["term"])
+        if term in place:
+            x[at[c[model.ROW]], place[term]] = c["tf"] * (math.log((1 + len(train)) / (1 + df[term])) + 1)
+    for branch in {b for b, _ in place}:
+        own = [i for (b, _), i in place.items() if b == branch]
+        norm = np.linalg.norm(x[:, own], axis=1, keepdims=True)
+        x[:, own] = np.divide(x[:, own], norm, out=np.zeros_like(x[:, own]), where=norm > 0)
+    x[:, 0] = 1.0
+    keys = sorted(labels)
+    return x, [labels[k][0] for k in keys], np.array([labels[k][1] for k in keys]), np.array([k in train for k in keys])
+
+
+def objective(w, x, sign, weight):
+    return w @ w / 2 + (weight * np.maximum(0, 1 - sign * (x @ w)) ** 2).sum()
+
+
+def newton(x, sign, weight):
+    """The minimum of the objective by Newton steps with halving."""
+    w = np.zeros(x.shape[1])
+    for _ in range(200):
+        slack = 1 - sign * (x @ w)
+        on = slack > 0
+        slope = w - 2 * x[on].T @ (weight[on] * sign[on] * slack[on])
+        if np.linalg.norm(slope) < 1e-9:
+            break
+        step = np.linalg.solve(np.eye(len(w)) + 2 * (x[on].T * weight[on]) @ x[on], slope)
+        t = 1.0
+        while objective(w - t * step, x, sign, weight) > objective(w, x, sign, weight) - 1e-4 * t * slope @ step and t > 1e-9:
+            t /= 2
+        w = w - t * step
+    return w
+
+
+@pytest.mark.parametrize("cells, c", [(svm.CELLS_PER_BLOCK, 1000.0), (svm.CELLS_PER_BLOCK, 1.0), (40, 0.1)])
+def test_fit_equals_a_dense_fit(spark, monkeypatch, cells, c):
+    """In one block and in several, the objective and the labels are those of
+    Newton's method on dense vectors."""
+    monkeypatch.setattr(svm, "CELLS_PER_BLOCK", cells)
+    rows = labelled(spark, 36)
+    noisy = rows.withColumn("label", F.when(F.col("e1") == "thing3", "Other nan").otherwise(F.col("label")))
+    noisy = noisy.withColumn("copies", F.when(F.col("e2") == "item1", 3.0).otherwise(F.col("copies")))
+    fitted = model.fit_relations(noisy, c)
+    x, labels, copies, _ = dense(noisy)
+    assert fitted.labels == sorted(set(labels))
+    terms = sorted((r["branch"], r["term"], r["coef"]) for r in fitted.terms.collect())
+    w = np.vstack([fitted.intercepts, [t[2] for t in terms]])
+    assert len(w) == x.shape[1]
+    best = []
+    for k, name in enumerate(fitted.labels):
+        sign = np.where(np.array(labels) == name, 1.0, -1.0)
+        best.append(newton(x, sign, c * copies))
+        wanted = objective(best[-1], x, sign, c * copies)
+        assert wanted - 1e-9 <= objective(w[:, k], x, sign, c * copies) <= wanted * (1 + 1e-4) + 1e-9
+    said = [fitted.labels[k] for k in (x @ np.array(best).T).argmax(axis=1)]
+    got = {r[model.ROW]: r["preds"] for r in model.predict_relations(noisy, fitted).collect()}
+    assert [got[k] for k in sorted(got)] == said
+
+
+def test_stored_model(spark, tmp_path):
+    rows = labelled(spark, 12)
+    fitted = model.fit_relations(rows)
+    model.write_model(fitted, str(tmp_path / "m"))
+    again = model.read_model(spark, str(tmp_path / "m"))
+    assert (again.labels, again.intercepts) == (fitted.labels, fitted.intercepts)
+    one, two = (sorted((r[model.ROW], r["preds"]) for r in model.predict_relations(rows, m).collect())
+                for m in (fitted, again))
+    assert one == two
+
+
+def test_vectors_equal_the_long_form(spark):
+    rows = labelled(spark, 6)
+    idf = features.number_terms(features.term_idf(rows, features.term_rows(rows, model.ROW, FEATURE_BRANCHES)))
+    size = idf.count()
+    empty = rows.limit(1).select(F.lit("none").alias(model.ROW), *[
+        F.lit("").alias(c) for c in sorted({c for _, c, _ in FEATURE_BRANCHES})])
+    found = features.vectorise(rows.unionByName(empty, allowMissingColumns=True), model.ROW, idf, size)
+    assert "Python" not in plan_text(found)
+    by_row = {}
+    place = {r["idx"]: (r["branch"], r["term"]) for r in idf.collect()}
+    for r in found.collect():
+        assert r["features"]["size"] == size and r["features"]["indices"] == sorted(r["features"]["indices"])
+        by_row[r[model.ROW]] = {place[i]: v for i, v in zip(r["features"]["indices"], r["features"]["values"])}
+    assert by_row.pop("none") == {}
+    wanted = {}
+    for r in features.tfidf(rows, model.ROW, FEATURE_BRANCHES).collect():
+        wanted.setdefault(r[model.ROW], {})[r["branch"], r["term"]] = pytest.approx(r["weight"])
+    assert by_row == wanted
+
+
+def test_weighted_f1(spark):
+    counts = spark.createDataFrame(
+        [(0, "a", "a", 3.0), (0, "a", "b", 1.0), (0, "b", "a", 2.0), (0, "c", "b", 1.0), (1, "a", "a", 2.0)],
+        "i int, label string, preds string, n double")
+    got = {r["i"]: r["f1"] for r in model.weighted_f1(counts, ["i"]).collect()}
+    a, rest = 2 * 3 / (4 + 5), 0.0
+    assert got == {0: pytest.approx(a * 4 / 7 + rest), 1: 1.0}
+
+
+def test_tuning_equals_dense_folds(spark):
+    rows = labelled(spark, 24)
+    noisy = rows.withColumn("label", F.when(F.col("e1") == "thing3", "Other nan").otherwise(F.col("label")))
+    folds, grid = 2, (0.1, 100.0)
+    fold_of = {r[model.ROW]: r["f"] for r in noisy.select(model.ROW, F.pmod(
+        F.xxhash64(model.ROW, F.lit(model.SPLIT_SEED)), F.lit(folds)).alias("f")).collect()}
+    wanted = [0.0] * len(grid)
+    for f in range(folds):
+        x, labels, copies, train = dense(noisy, {k: v != f for k, v in fold_of.items()})
+        labels = np.array(labels)
+        known = sorted(set(labels[train]))
+        for i, c in enumerate(grid):
+            scores = np.stack([x @ newton(x[train], np.where(labels[train] == k, 1.0, -1.0), c * copies[train])
+                               for k in known], axis=1)
+            said = np.array([known[j] for j in scores.argmax(axis=1)])[~train]
+            true, n = labels[~train], copies[~train]
+            for k in set(true):
+                hits, of, as_k = n[(true == k) & (said == k)].sum(), n[true == k].sum(), n[said == k].sum()
+                wanted[i] += 2 * hits / (of + as_k) * of / n.sum() / folds
+    got = [r["score"] for r in model.tune_relations(noisy, grid, folds, tolerance=1e-6, refit=False).scores.collect()]
+    assert got == pytest.approx(wanted, abs=1e-6)
+
+
 def test_rows_without_any_known_term_keep_a_class(spark):
-    fitted = model.fit_relations(labelled(spark, 12), max_iter=5)
+    fitted = model.fit_relations(labelled(spark, 12))
     empty = model.with_row_id(spark.createDataFrame([("q",)], "id string").select(
         "id", *[F.lit("").alias(c) for c in {c for _, c, _ in FEATURE_BRANCHES}]))
     row = model.predict_relations(empty, fitted).first()
@@ -126,7 +249,7 @@ def test_blocks_to_classes(spark):
     assert {(r["e1_e2_ner"], r["copies"]) for r in got} == {("A B", 4.0)}
     assert {(r["label"], r["input_relation"]) for r in got} == {
         ("Cause-Effect e2,e1", "Cause-Effect**e2,e1"), ("Other nan", "Other")}
-    fitted = model.fit_relations(rows, max_iter=10)
+    fitted = model.fit_relations(rows)
     predicted = model.predict_relations(rows, fitted)
     assert model.evaluate(predicted, fitted) == 1.0
     twice = model.predict_relations(rows.unionAll(rows), fitted)
@@ -135,7 +258,7 @@ def test_blocks_to_classes(spark):
 
 def test_tuning(spark):
     rows = labelled(spark, 18)
-    tuned = model.tune_relations(rows, grid=(1.0, 100.0), folds=2, max_iter=3)
+    tuned = model.tune_relations(rows, grid=(1.0, 100.0), folds=2)
     got = tuned.scores.collect()
     assert [r["c"] for r in got] == [1.0, 100.0] and all(0 <= r["score"] <= 1 for r in got)
     assert model.evaluate(model.predict_relations(rows, tuned.best), tuned.best) > 0.5
@@ -143,7 +266,7 @@ def test_tuning(spark):
 
 def test_rows_with_one_id_are_scored_once(spark):
     rows = labelled(spark, 12)
-    fitted = model.fit_relations(rows, max_iter=10)
+    fitted = model.fit_relations(rows)
     once = {r[model.ROW]: r["preds"] for r in model.predict_relations(rows, fitted).collect()}
     thrice = model.predict_relations(rows.unionAll(rows).unionAll(rows), fitted).collect()
     assert len(thrice) == 3 * len(once)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.ml.linalg import Vectors, VectorUDT
 
 from webfacts.constants import FEATURE_BRANCHES, NAN_COLUMNS, NAN_TEXT
 from webfacts.functions.text import term_counts, terms
@@ -59,35 +58,34 @@ def tfidf(df: DataFrame, row: str, branches: Sequence[Branch]) -> DataFrame:
     return weigh(counted, cut_lineage(term_idf(df, counted)), row)
 
 
-def number_terms(idf: DataFrame) -> DataFrame:
-    """Add ``idx``, 0 … n-1 without gaps, numbered in parallel.
+def number_terms(idf: DataFrame, *key: str) -> DataFrame:
+    """Add ``idx``, 0 … n-1 without gaps, numbered in parallel. The ``key`` of a
+    row is branch and term if none is named.
 
     Terms are numbered within hash buckets, four for each shuffle partition; each
     bucket starts where the ones before end.
     """
+    key = key or ("branch", "term")
     buckets = 4 * int(idf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bucketed = idf.withColumn("_b", F.pmod(F.xxhash64("branch", "term"), F.lit(buckets)))
+    bucketed = idf.withColumn("_b", F.pmod(F.xxhash64(*key), F.lit(buckets)))
     sizes = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     earlier = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    place = F.row_number().over(W.partitionBy("_b").orderBy("branch", "term"))
+    place = F.row_number().over(W.partitionBy("_b").orderBy(*key))
     return (bucketed.withColumn("_place", place).join(F.broadcast(starts), "_b")
             .withColumn("idx", (F.col("_start") + F.col("_place") - 1).cast("int"))
             .drop("_b", "_place", "_start"))
 
 
-@F.udf(VectorUDT())
-def _sparse(size, cells):
-    """MLlib has no SQL function for sparse vectors; used for training rows."""
-    cells = cells or []
-    return Vectors.sparse(size, [c["idx"] for c in cells], [c["weight"] for c in cells])
-
-
 def vectorise(df: DataFrame, row: str, vocabulary: DataFrame, size: int,
               branches: Sequence[Branch] = tuple(FEATURE_BRANCHES)) -> DataFrame:
-    """Add ``features``: all branches of a row in one sparse vector."""
+    """Add ``features``: all branches of a row in one sparse vector, a struct of
+    ``size``, ``indices`` and ``values`` in rising order of the index."""
     weighted = weigh(term_rows(df, row, branches), vocabulary, row)
     cells = weighted.groupBy(row).agg(
         F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_cells"))
-    return (df.join(cells, row, "left")
-            .withColumn("features", _sparse(F.lit(size), "_cells")).drop("_cells"))
+    empty = F.array().cast("array<struct<idx:int,weight:double>>")
+    return (df.join(cells, row, "left").withColumn("_cells", F.coalesce("_cells", empty))
+            .withColumn("features", F.struct(
+                F.lit(size).alias("size"), F.col("_cells.idx").alias("indices"),
+                F.col("_cells.weight").alias("values"))).drop("_cells"))

@@ -18,6 +18,8 @@ FEATURE_COLUMNS = [
     "relation", "direction", "sentence_string",
 ]
 
+PARSE_LIST = "array<struct<text:string,tag:string,head:string,dep:string>>"
+
 
 def relation_candidates(tagged: DataFrame, sent_no: str | None = None) -> DataFrame:
     """Distinct ``(labeled_text, entity, id)`` with two entities and both marks.
@@ -104,7 +106,8 @@ def relation_features(
     words of the sentences, which the column ``sent_id`` of the rows names: they
     give the path between the entities and, in training, their tags. It is
     read several times, so a stored table is best. Without it the path is ``''`` and
-    training tags are missing.
+    training tags are missing. Training rows also have ``parse_list``, the tokens
+    of the sentence, empty without ``tokens``.
     """
     rows = df if training else df.withColumns({
         "input_sentence": F.col("labeled_text"), "input_relation": F.lit(None).cast("string")})
@@ -120,10 +123,12 @@ def relation_features(
     if training and "parse_list" in rows.columns:
         rows = add_token_tags(rows)
     elif training:
-        rows = rows.withColumns({c: F.lit(None).cast("string") for c in ("e1_postag", "e2_postag")})
+        rows = rows.withColumns({
+            "parse_list": F.array().cast(PARSE_LIST),
+            **{c: F.lit(None).cast("string") for c in ("e1_postag", "e2_postag")}})
     missing = F.lit(None).cast("string")
     rows = add_relation(rows) if training else rows.withColumns(
         {"relation": missing, "direction": missing})
     if "shortest_path" not in rows.columns:
         rows = rows.withColumn("shortest_path", F.lit(""))
-    return rows.select(*FEATURE_COLUMNS, "shortest_path")
+    return rows.select(*FEATURE_COLUMNS, "shortest_path", *["parse_list"] * training)

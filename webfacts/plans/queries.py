@@ -393,7 +393,7 @@ def ruled_predictions(spark, sf):
         for k in range(len(inputs.RULED_LABELS))])
     ruled = model.RelationModel(
         cut_lineage(idf.withColumn("coef", coefficient)), inputs.RULED_LABELS,
-        inputs.RULED_INTERCEPTS, None)
+        inputs.RULED_INTERCEPTS)
     return model.predict_relations(rows, ruled, "id").select(F.col("id").alias("row_id"), "preds")
 
 
