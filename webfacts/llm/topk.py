@@ -89,19 +89,19 @@ def search(
 
     ``rows`` and ``queries`` are ``(vec_id, weights array<long>)``; other columns
     are not read. Defined cases: rows whose id or weights are null take no part;
-    missing components are zeros, so an empty vector scores 0; of rows with the
-    same id the one with the smallest weights counts; a query never meets its
-    own id; with fewer than ``k`` others all are returned; with empty tables
+    missing components are zeros, so an empty vector scores 0; every row is a
+    candidate, so an id that rows share may come more than once; query rows that
+    share an id are one query with the candidates of all; a query never meets
+    its own id; with fewer than ``k`` others all are returned; with empty tables
     nothing is. Weights must be such that a score fits a long.
     """
     def usable(df: DataFrame) -> DataFrame:
-        return (df.select("vec_id", "weights").where("vec_id IS NOT NULL AND weights IS NOT NULL")
-                .groupBy("vec_id").agg(F.min("weights").alias("weights")))
+        return df.select("vec_id", "weights").where("vec_id IS NOT NULL AND weights IS NOT NULL")
 
     rows, queries = usable(rows), usable(queries)
     n_rows, n_queries = rows.count(), queries.count()
     row_blocks, query_blocks = -(-n_rows // row_block) or 1, -(-n_queries // query_block) or 1
-    block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("vec_id", "weights"), F.lit(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = queries.withColumn("_q", block(query_blocks)).withColumn("_r", spread(row_blocks))
     right = rows.withColumn("_r", block(row_blocks)).withColumn("_q", spread(query_blocks))
