@@ -7,8 +7,6 @@ brute-force versions.
 
 from __future__ import annotations
 
-from webfacts.llm.mixing import OFFSETS
-
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _SHINGLE_JOIN = rf"""
@@ -86,7 +84,7 @@ FROM scored
 QUALIFY rank <= 5
 """
 
-_MIXTURE = rf"""
+_MIXTURE = r"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
         coalesce('=' || source, '~') AS skey, md5('9|' || coalesce(doc_id::VARCHAR, '~')) AS hash
@@ -115,14 +113,7 @@ ranked AS (
         row_number() OVER (PARTITION BY s.skey ORDER BY
             length(size::VARCHAR), substr(size::VARCHAR, 1, 2), hash, size) AS rank
     FROM sized s JOIN targets t USING (skey)),
-draws AS (
-    SELECT skey, i, ('0x' || substr(md5('9|' || i || '|' || skey), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
-    FROM sources, range({OFFSETS}) r(i)),
-tried AS (
-    SELECT r.skey, d.i, d.u, abs(sum((floor(u + rate * rank) - floor(u + rate * (rank - 1)))::BIGINT * size)
-        - any_value(target)) AS off
-    FROM ranked r JOIN draws d USING (skey) GROUP BY r.skey, d.i, d.u),
-chosen AS (SELECT skey, arg_min(u, (off, i)) AS u FROM tried GROUP BY skey)
+chosen AS (SELECT skey, ('0x' || substr(md5('9|' || skey), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM sources)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
     (floor(u + rate * rank) - floor(u + rate * (rank - 1)))::BIGINT * size AS taken,
     (floor(u + rate * rank) - floor(u + rate * (rank - 1)))::BIGINT AS copies, source
