@@ -84,3 +84,62 @@ def test_every_part_of_a_repetitive_text_weighs():
         assert likeness(own, fingerprint(passage * 200 + words(32_000))) < 0.8
         assert likeness(own, fingerprint("some words before " + text)) > 0.75
         assert likeness(own, fingerprint(passage * 900)) > 0.8
+
+
+def plain_fingerprint(text):
+    """Byte by byte, for texts of at most 128 pieces."""
+    import itertools
+    import zlib
+
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    name = lambda data: (lambda n: letters[n >> 12] + letters[n >> 6 & 63] + letters[n & 63])(
+        zlib.crc32(data) & 0x3FFFF)
+    data = text.encode()
+    marks = []
+    for i in range(len(data)):
+        h = 0
+        for j in range(i - 6, i + 1):
+            h = (h * 0x01000193 + (data[j] + 1 if j >= 0 else 0)) & 0xFFFFFFFF
+        h = h * 0x9E3779B1 & 0xFFFFFFFF
+        h ^= h >> 15
+        h = h * 0x85EBCA77 & 0xFFFFFFFF
+        marks.append(h ^ h >> 13)
+
+    def pieces(size):
+        out, begin = [], 0
+        for i, m in enumerate(marks, 1):
+            if m & size - 1 == size - 1 or i == len(data):
+                out.append(name(data[begin:i]))
+                begin = i
+        joined = []
+        for piece, run in itertools.groupby(out):
+            n = len(list(run))
+            joined += [piece] + [name(f"{piece}*{n.bit_length()}".encode())] * (n > 1)
+        return joined
+
+    size = 1 << (len(data) // 32).bit_length()
+    while size > 1 and (sum(m & size - 1 == size - 1 for m in marks) < 32 or len(pieces(size)) < 32):
+        size //= 2
+    return f"{size}:{''.join(pieces(size))}:{''.join(pieces(2 * size))}"
+
+
+def test_against_a_plain_version():
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    texts = ["a", "x" * 100, "x" * 5000, WORDS, WORDS[:40], "é" * 33]
+    texts += [" ".join(rng.choice(words) for _ in range(rng.randrange(5, 700))) for _ in range(25)]
+    compared = 0
+    for text in texts:
+        wanted = plain_fingerprint(text)
+        if all(len(s) <= 3 * 128 for s in wanted.split(":")[1:]):
+            assert fingerprint(text) == wanted
+            compared += 1
+    assert compared >= 20
+
+
+def test_the_length_of_a_run_weighs():
+    line = "one line of fifty and some characters, said again. \n"
+    few, many = ("begin " + line * n + f"end of {n}" for n in (400, 4000))
+    assert likeness(fingerprint(few), fingerprint(many)) < 1
+    assert likeness(fingerprint("x" * 5000), fingerprint("x" * 80_000)) < 1
+    assert likeness(fingerprint(few), fingerprint("begin " + line * 401 + "end of 400")) > 0.8

@@ -2,8 +2,10 @@
 
 A rolling hash of seven bytes ends a piece wherever its low bits are all set,
 so pieces depend on near bytes only and an edit changes few of them. Each piece
-gives three characters of its hash; the row of them is the signature. The block
-size is the largest power of two that still gives ``LEAST`` pieces, and a
+gives three characters of its hash; the row of them is the signature. A run of
+equal pieces is written as the piece and, in one more, the power of two at or
+below its length. The block size is the largest power of two that still gives
+``LEAST`` pieces, runs being joined, and a
 fingerprint holds the signatures of that size and of twice that size. Where a
 passage is repeated, triggers can jump from none to very many between two sizes;
 pieces beyond ``MOST`` are then joined, level by level: equal neighbours in twos,
@@ -33,7 +35,6 @@ WINDOW = 7
 LEAST = 32
 # A signature has this many pieces at most; more are joined.
 MOST = 128
-_RUN = 3
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _PAIRS = [a + b + c for a in _LETTERS for b in _LETTERS for c in _LETTERS]
 
@@ -53,17 +54,33 @@ def _triggers(data: bytes) -> np.ndarray:
     return rolled ^ (rolled >> np.uint32(13))
 
 
-def _signature(data: bytes, ends: np.ndarray) -> str:
+def _cut(data: bytes, ends: np.ndarray) -> list[str]:
+    """Pieces between the ends, runs joined."""
     pieces: list[str] = []
-    begin = 0
+    begin, run = 0, 0
     stops = ends.tolist()
     if not stops or stops[-1] < len(data):
         stops.append(len(data))
     for end in stops:
         piece = _PAIRS[zlib.crc32(data[begin:end]) & 0x3FFFF]
         begin = end
-        if pieces[-_RUN:] != [piece] * _RUN:
-            pieces.append(piece)
+        if run and piece == last:
+            run += 1
+            continue
+        if run > 1:
+            pieces.append(_run(last, run))
+        pieces.append(piece)
+        last, run = piece, 1
+    if run > 1:
+        pieces.append(_run(last, run))
+    return pieces
+
+
+def _run(piece: str, length: int) -> str:
+    return _PAIRS[zlib.crc32(f"{piece}*{length.bit_length()}".encode()) & 0x3FFFF]
+
+
+def _signature(pieces: list[str]) -> str:
     level = 0
     while len(pieces) > MOST:
         pieces, level = _joined(pieces), level + 1
@@ -107,10 +124,12 @@ def fingerprint(text: str) -> str:
     while True:
         ends = np.flatnonzero((mark & np.uint32(size - 1)) == size - 1) + 1
         if size == 1 or len(ends) >= LEAST:
-            break
+            pieces = _cut(data, ends)
+            if size == 1 or len(pieces) >= LEAST:
+                break
         size //= 2
     double = np.flatnonzero((mark & np.uint32(2 * size - 1)) == 2 * size - 1) + 1
-    return f"{size}:{_signature(data, ends)}:{_signature(data, double)}"
+    return f"{size}:{_signature(pieces)}:{_signature(_cut(data, double))}"
 
 
 def _pieces(signature: str) -> tuple[int, list[str]]:
