@@ -75,3 +75,32 @@ def test_short_text_without_evidence_stays_ambiguous(spark):
     same = {"en": b"the and of that with", "de": b"the and of that with"}
     found = langid.identify(spark.createDataFrame([("that",)], "text string"), same).first()
     assert tuple(found) == ("that", "en", 0.0, True)
+
+
+def test_against_plain_compression(spark):
+    """Each text under each dictionary, by the library alone."""
+    import re
+
+    import zstandard
+
+    rows = [(i, t, lang) for lang in ("en", "de") for i, t in enumerate(texts(lang, 40, 50, seed=31))]
+    frame = spark.createDataFrame([(n, t, lang) for n, (_, t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    known = langid.fit(frame.where("doc_id % 2 = 0"))
+    plain = {}
+    for lang, content in known.items():
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        setting = zstandard.ZstdCompressionParameters.from_level(
+            langid.LEVEL, dict_size=len(content), source_size=langid.BLOCK, write_content_size=False,
+            write_checksum=False, write_dict_id=False)
+        d.precompute_compress(compression_params=setting)
+        plain[lang] = zstandard.ZstdCompressor(dict_data=d, compression_params=setting)
+    decided = 0
+    for r in langid.identify(frame, known).collect():
+        data = re.sub(r"[\W\d_]+", " ", r["text"].lower()).encode()
+        sizes = sorted((sum(len(c.compress(data[i:i + langid.BLOCK])) for i in range(0, len(data), langid.BLOCK)), lang)
+                       for lang, c in plain.items())
+        if sizes[0][0] < sizes[1][0]:
+            decided += 1
+            assert r["lang_pred"] == sizes[0][1]
+            assert r["score"] == (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+    assert decided >= 70

@@ -91,3 +91,15 @@ def test_empty_table(spark, documents):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
         assert docs.collect() == []
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    one, two = texts("en", 2, 60, seed=21)
+    near = " ".join(one.split()[:-1] + ["other"])
+    rows = [(1, one, "en", "a"), (1, two, "en", "a"), (2, near, "en", "a"), (3, two, "en", "b"), (4, "", "en", "a"),
+            (4, "", "en", "a"), (5, None, "en", "a"), (None, one, "en", "a"), (1, one, "de", "z"), (4, one + " x", "en", "a")]
+    docs = spark.createDataFrame([(*r, 7) for r in rows], SCHEMA)
+    for n in (1, 5):
+        found = corpus_pipeline.drop_near_copies(spark, docs.repartition(n), "").collect()
+        assert sorted((r["doc_id"] or 0, r["text"] or "", r["lang"]) for r in found) == sorted([
+            (0, one, "en"), (1, one, "de"), (1, two, "en"), (4, "", "en"), (4, "", "en"), (5, "", "en")])

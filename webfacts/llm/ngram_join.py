@@ -384,11 +384,14 @@ def join_shingles(
     docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), text: str = "text",
     doc_id: str = "doc_id", block_characters: int = BLOCK_CHARACTERS,
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, n_copies)``, one row per input row.
+    """``(doc_id, n_shingles, component_id, n_copies, digest, component)``, one row
+    per input row.
 
     Two documents link when the Jaccard similarity of their sets is at least
     ``similarity``, a fraction; ``component_id`` is the smallest doc_id that links
-    lead to, itself included, ``n_copies`` the number of rows with the same set.
+    lead to, itself included, ``n_copies`` the number of rows with the same set,
+    ``digest`` the MD5 of the text and ``component`` a key of the component (null
+    without shingles or id), which tells components apart where rows share ids.
 
     Defined cases: null and empty texts and texts without words have no shingle and link with
     nothing; a row without id has no part in any component and null for it;
@@ -426,8 +429,9 @@ def join_shingles(
         _prefixes(k, numerator, denominator), _SETS))
     light = found.select("doc_id", "digest", "n_shingles", "node")
     shared = light.dropDuplicates(["doc_id", "digest"]).withColumnRenamed("doc_id", "first_id")
-    every = staged(light.select("doc_id", "n_shingles", "node").unionByName(
-        copies.join(shared, ["first_id", "digest"]).select("doc_id", "n_shingles", "node")))
+    names = ["doc_id", "digest", "n_shingles", "node"]
+    every = staged(light.select(*names).unionByName(
+        copies.join(shared, ["first_id", "digest"]).select(*names)))
     classes = staged(
         every.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
         .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies")))
@@ -438,10 +442,11 @@ def join_shingles(
     roots = _linked(sets, numerator, denominator)
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(smallest, "root").select("node", "component_id", "n_copies")
+    named = rooted.join(smallest, "root").select("node", "root", "component_id", "n_copies")
     return (
         every.join(named, "node", "left")
         .select(
             "doc_id", "n_shingles",
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-            F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("n_copies")), F.lit(1)).alias("n_copies")))
+            F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("n_copies")), F.lit(1)).alias("n_copies"),
+            "digest", F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("component")))

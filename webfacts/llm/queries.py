@@ -24,7 +24,8 @@ def tokenizer_file(name: str) -> str:
 
 def op1_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_shingles(
-        _table(spark, sf_dir, "documents"), k=4, similarity=(85, 100))
+        _table(spark, sf_dir, "documents"), k=4, similarity=(85, 100)
+    ).select("doc_id", "n_shingles", "component_id", "n_copies")
 
 
 def op2_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
