@@ -26,16 +26,28 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each group that links of
-    five-word shingles at a similarity of 0.8 or more connect.
-
-    Documents without words or without an id have no links and stay; of rows
-    that share the id which stays, one does.
+    """One document of each group that links of five-word shingles at a
+    similarity of 0.8 or more connect: the one of the smallest id, then of the
+    smallest digest of its text.
+
+    Documents without words or without an id have no links and stay, all of
+    them. Rows that share an id but are no near copies of each other are
+    documents of their own. Of rows that agree in id and text, the smallest by
+    their other columns stays.
     """
-    groups = ngram_join.join_shingles(docs, k=5, similarity=(80, 100))
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    found = docs.where("doc_id IS NOT NULL").join(staged(keep), "doc_id", "left_semi")
-    return found.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    groups = staged(ngram_join.join_shingles(docs, k=5, similarity=(80, 100)).where("doc_id IS NOT NULL"))
+    kept = (
+        groups.where("component IS NOT NULL").groupBy("component")
+        .agg(F.min(F.struct("doc_id", "digest")).alias("kept")).select("kept.*", F.lit(True).alias("linked")))
+    alone = groups.where("component IS NULL").select("doc_id", "digest", F.lit(False).alias("linked")).distinct()
+    keep = staged(kept.unionByName(alone).select("doc_id", F.coalesce("digest", F.lit(b"")).alias("digest"), "linked"))
+    found = (
+        docs.where("doc_id IS NOT NULL")
+        .withColumn("digest", F.coalesce(F.unhex(F.md5("text")), F.lit(b""))).join(keep, ["doc_id", "digest"]))
+    one = found.where("linked").groupBy("doc_id", "digest").agg(
+        F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return (one.unionByName(found.where("NOT linked").select(*docs.columns))
+            .unionByName(docs.where("doc_id IS NULL")).select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
