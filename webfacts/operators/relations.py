@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from webfacts.functions import marking as M
 from webfacts.functions.text import strip
 from webfacts.operators.joins import cut_lineage
-from webfacts.operators.paths import connecting_paths, token_edges, token_lists
+from webfacts.operators.paths import connecting_paths, token_edges, token_lists, tokens_of
 
 # Column order of a feature row.
 FEATURE_COLUMNS = [
@@ -85,12 +85,12 @@ def add_relation(df: DataFrame) -> DataFrame:
 
 def add_paths(df: DataFrame, edges: DataFrame, sent_id: str = "sent_id") -> DataFrame:
     """Add ``shortest_path`` between the head words, without punctuation, of a
-    sentence with the given id; ``''`` when there is none."""
+    sentence with the given id; ``''`` when there is none. The rows are read
+    twice, so a stored table is best."""
     heads = df.withColumns({
         "source": F.lower(M.head_word(M.strip_punctuation(F.col("e1")))),
         "target": F.lower(M.head_word(M.strip_punctuation(F.col("e2"))))})
-    keyed = cut_lineage(heads.withColumnRenamed(sent_id, "sent_id"))
-    return (connecting_paths(keyed, edges)
+    return (connecting_paths(heads.withColumnRenamed(sent_id, "sent_id"), edges)
             .withColumnsRenamed({"path": "shortest_path", "sent_id": sent_id})
             .drop("source", "target"))
 
@@ -105,7 +105,7 @@ def relation_features(
     exactly. ``tokens(sent_id, pos, head, token, tag, dep)`` are the parsed
     words of the sentences, which the column ``sent_id`` of the rows names: they
     give the path between the entities and, in training, their tags. It is
-    read several times, so a stored table is best. Without it the path is ``''`` and
+    read once. Without it the path is ``''`` and
     training tags are missing. Training rows also have ``parse_list``, the tokens
     of the sentence, empty without ``tokens``.
     """
@@ -115,6 +115,9 @@ def relation_features(
         rows = rows.withColumn("id", F.lit(None).cast("string"))
     rows = split_marked(rows)
     if tokens is not None:
+        # Tokens of the sentences asked for only, before they meet each other.
+        rows = cut_lineage(rows)
+        tokens = cut_lineage(tokens_of(tokens, rows.withColumnRenamed(sent_id, "sent_id")))
         rows = add_paths(rows, token_edges(tokens), sent_id)
         if training:
             lists = token_lists(tokens).withColumnRenamed("sent_id", sent_id)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from webfacts.constants import RELATION_DICTIONARY
 from webfacts.functions import text as T
 from webfacts.operators import model, pages, relations
-from webfacts.operators.joins import cut_lineage
 from webfacts.plans.facts import tag_and_mark
 from webfacts.sources import files
 
@@ -221,7 +220,7 @@ def labelled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", F.concat_ws("-", "id", "sent_no").alias("sent_id"), "entity",
         F.col("labeled_text").alias("input_sentence"), relation.alias("input_relation"))
     return relations.relation_features(
-        joined, training=True, tokens=cut_lineage(tree(spark, sf_dir)))
+        joined, training=True, tokens=tree(spark, sf_dir))
 
 
 def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

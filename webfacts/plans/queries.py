@@ -324,8 +324,8 @@ def feature_rows(spark, sf):
 def feature_paths(spark, sf):
     rows = relations.relation_candidates(inputs.tagged(spark, sf, mentioned_only=True), "sent_no")
     keyed = rows.withColumn("sent_id", F.concat_ws("-", "id", "sent_no"))
-    parts = relations.split_marked(keyed, "labeled_text")
-    tree = cut_lineage(inputs.tree(spark, sf))
+    parts = cut_lineage(relations.split_marked(keyed, "labeled_text"))
+    tree = cut_lineage(paths.tokens_of(inputs.tree(spark, sf), parts))
     with_paths = relations.add_paths(parts, paths.token_edges(tree))
     return with_paths.select("sent_id", "labeled_text", "e1", "e2", "shortest_path")
 
@@ -341,7 +341,7 @@ def _features(rows):
 def prediction_features(spark, sf):
     """Features of all marked sentences, with paths."""
     tagged = inputs.tagged(spark, sf, mentioned_only=True)
-    return _features(model.prediction_features(tagged, cut_lineage(inputs.tree(spark, sf))))
+    return _features(model.prediction_features(tagged, inputs.tree(spark, sf)))
 
 
 def training_features(spark, sf):
@@ -376,7 +376,7 @@ def _feature_rows(spark, sf):
         "sent_id": F.concat_ws("-", "id", "sent_no"),
         "id": F.md5(F.concat_ws("|", "id", "labeled_text", _render()))})
     return cut_lineage(features.fill_missing(relations.relation_features(
-        keyed, tokens=cut_lineage(inputs.tree(spark, sf)))))
+        keyed, tokens=inputs.tree(spark, sf))))
 
 
 def tfidf_branches(spark, sf):
@@ -476,7 +476,7 @@ def page_facts(spark, sf):
     fitted = model.fit_relations(inputs.labelled_pairs(spark, sf))
     return facts.fact_lines(
         tagged, inputs.kb(spark, sf), fitted, inputs.relation_dictionary(spark),
-        tokens=cut_lineage(inputs.parsed(sentences)))
+        tokens=inputs.parsed(sentences))
 
 
 CATALOGUE: list[Callable[[SparkSession, str], DataFrame]] = [
