@@ -76,10 +76,23 @@ def test_escape_query(evaluate):
 
 def test_sql_functions_agree(spark):
     names = sql.register(spark)
-    assert names == ["cut_sentences", "clean_sentence", "char_cosine"]
+    assert names == ["collapse_blanks", "cut_sentences", "clean_sentence", "char_cosine", "mark_pair", "sentence_rows"]
     from webfacts.functions.similarity import char_cosine
     rows = spark.createDataFrame(
         [("A cannot be. Or Café 12!", "abcd"), ("", ""), ("x", "")], "x string, y string")
     got = rows.selectExpr("cut_sentences(x) a", "clean_sentence(x) b", "char_cosine(x, y) c").collect()
     want = rows.select(T.sentences(X), T.clean_sentence(X), char_cosine(X, F.col("y"))).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_sql_marker_and_sentence_table(spark):
+    from webfacts.functions.marking import mark_pair
+
+    sql.register(spark)
+    rows = spark.createDataFrame([
+        ("A Cat and a cat dog.", ["cat", "dog", "cat dog"]), ("none here", ["cat"]), (None, ["a"]), ("x", None),
+        ("İ cat İ Dog", ["dog", "cat", ""]), ("dogcat", ["dog", "dogc", "cat"]), ("", [])], "x string, n array<string>")
+    got = rows.selectExpr("mark_pair(x, n) m").collect()
+    assert [r["m"] for r in got] == [r["m"] for r in rows.select(mark_pair(X, F.col("n")).alias("m")).collect()]
+    table = spark.sql("SELECT d.x, s.* FROM {d} d, LATERAL sentence_rows(d.x) s", d=rows.where("x LIKE 'A%'"))
+    assert [tuple(r)[1:] for r in table.collect()] == [(0, "A Cat and a cat dog.", "cat cat dog")]

@@ -402,6 +402,7 @@ def oracle_sql() -> dict[str, str]:
         "distinct_entities": _query([*_HITS, "ents"], """SELECT DISTINCT id, array_to_string(list_filter(names,
             lambda x, i: list_position(names, x) = i), ';') AS entities FROM ents"""),
         "marked_pairs": _query(_MARKED, "SELECT id, sent_no, labeled_text FROM marked"),
+        "sql_marked_pairs": _query(_MARKED, "SELECT id, sent_no, labeled_text FROM marked"),
         "label_containment": _query([*_RECORDS, "titles"], """SELECT id, label, url FROM keyed JOIN (
             SELECT label, arg_max(url, page_id) AS url FROM titles GROUP BY label)
             ON contains(payload, label) WHERE id <> '' AND label <> ''"""),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from webfacts.constants import NAN_TEXT, RECORD_MARK
 from webfacts.functions import marking as M
-from webfacts.functions import similarity
+from webfacts.functions import similarity, sql
 from webfacts.functions import text as T
 from webfacts.operators import (
     containment, features, linking, model, pages, paths, relations, results, scoring, tagging)
@@ -198,6 +198,23 @@ def marked_pairs(spark, sf):
         "id", F.col("sent_no").cast("long").alias("sent_no"), "labeled_text")
 
 
+def sql_marked_pairs(spark, sf):
+    """The same by SQL text alone, on views and SQL functions."""
+    sql.register(spark)
+    views = {"raw_documents": inputs.table(spark, sf, "documents"), "gazetteer": cut_lineage(
+        tagging.prepare_gazetteer(inputs.gazetteer(spark, sf)))}
+    return spark.sql("""
+        WITH sentences AS (
+            SELECT concat('doc-', doc_id) AS id, CAST(s.sent_no AS BIGINT) AS sent_no, s.org_text, s.text
+            FROM {raw_documents} d, LATERAL sentence_rows(d.text) s),
+        words AS (SELECT id, sent_no, explode(split(text, ' ')) AS alias FROM sentences),
+        named AS (
+            SELECT id, sent_no, collect_set(alias) AS names FROM words JOIN {gazetteer} USING (alias)
+            GROUP BY id, sent_no)
+        SELECT id, sent_no, mark_pair(org_text, names) AS labeled_text
+        FROM sentences JOIN named USING (id, sent_no)""", **views)
+
+
 def label_containment(spark, sf):
     labels = files.last_label(inputs.label_dictionary(spark, sf), "page_id")
     rows = inputs.records(spark, sf).select(
@@ -485,7 +502,7 @@ CATALOGUE: list[Callable[[SparkSession, str], DataFrame]] = [
     archive_records, labelled_blocks, stored_links, stored_relations, appended_lines,
     stored_sentences, label_file, known_relation_file, relation_file,
     entities_flat, entities_multiword, entity_arrays, pos_strings, token_pos, distinct_entities,
-    marked_pairs, label_containment, attached_relations,
+    marked_pairs, sql_marked_pairs, label_containment, attached_relations,
     escaped_queries, kb_candidates, char_cosine_rank, word_cosine, entity_links,
     marked_parts, quoted_lines, entity_types, train_entity_types, train_entity_pos,
     relation_labels, clean_pair_sentence, connecting_paths, token_lists, feature_rows,
