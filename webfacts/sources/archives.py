@@ -49,6 +49,36 @@ def find_separator(spark: SparkSession, paths: str | Sequence[str]) -> str:
     return CRLF_SEPARATOR if crlf else LF_SEPARATOR
 
 
+def crlf_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Files most of whose record marks end in CRLF, by a scan line by line.
+
+    The scan holds one line at a time and brings only paths to the driver.
+    """
+    crlf = F.col("value") == f"{RECORD_MARK}\r"
+    return [row["path"] for row in (
+        spark.read.option("lineSep", "\n").text(paths)
+        .filter(crlf | (F.col("value") == RECORD_MARK))
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.sum(F.when(crlf, 1).otherwise(-1)).alias("excess"))
+        .filter("excess > 0").select("path").collect())]
+
+
+def read_chunks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Raw chunks, each file cut with its own line ends.
+
+    The filters on the path reach the list of files: neither read opens the
+    other's files.
+    """
+    crlf = crlf_files(spark, paths)
+    lf_chunks = spark.read.option("lineSep", LF_SEPARATOR).text(paths)
+    if not crlf:
+        return lf_chunks.select("value", "_metadata")
+    of_crlf = F.col("_metadata.file_path").isin(crlf)
+    crlf_chunks = spark.read.option("lineSep", CRLF_SEPARATOR).text(paths)
+    return (crlf_chunks.filter(of_crlf).select("value", "_metadata")
+            .unionByName(lf_chunks.filter(~of_crlf).select("value", "_metadata")))
+
+
 def read_warc(
     spark: SparkSession, paths: str | Sequence[str],
     line_sep: str | None = None, spread: int | None = None,
@@ -56,12 +86,14 @@ def read_warc(
     """Archive files (plain or gzip) to ``(path, payload)`` rows.
 
     The text reader cuts at ``line_sep``, so one record and not one file is
-    held at a time. Without one it is the mark's line with the line end that the
-    first line of the first file has; files of the other kind among them come out
-    right too, but are held whole.
+    held at a time. Without one it is the mark's line with the line end that most
+    marks of the same file have; finding it reads the files once more, line by
+    line. Where all files have one known line end, name it (``find_separator`` looks
+    at the first line alone) and save that read.
     Line ends become ``\\n`` and do not stay at the end of a payload. A gzip
     file is one task: scale comes from many files. ``spread`` shuffles the
     records over that many partitions, for few and large files.
     """
-    out = records(spark.read.option("lineSep", line_sep or find_separator(spark, paths)).text(paths))
+    chunks = spark.read.option("lineSep", line_sep).text(paths) if line_sep else read_chunks(spark, paths)
+    out = records(chunks)
     return out.repartition(spread) if spread else out
