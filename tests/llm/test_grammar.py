@@ -111,3 +111,17 @@ def test_strings_of_added_tokens():
         found = WordEncoder(path, blanks).encode(texts)
         assert [np.frombuffer(f, "<u4").tolist() for f in found] == [
             Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_random_texts_encode_as_the_library_does():
+    import random
+
+    rng = random.Random(3)
+    letters = "ab Zé́ßİΣ<|>.,'s\n\t 12'll’—中国あᄀ ᅡ가 ª²Ⅷ_-$ĠĊ"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    for name, blanks in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        for cache in (400_000, 40):
+            encoder = WordEncoder(tokenizer_file(name), blanks, cache)
+            found = [f for at in range(0, len(texts), 100) for f in encoder.encode(texts[at:at + 100])]
+            assert [np.frombuffer(f, "<u4").tolist() for f in found] == [
+                encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]

@@ -18,9 +18,12 @@ import numpy as np
 # White space beyond blank and line feed, or two of these in a row.
 _ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _GROUP = 1024
-# Upper case whose lower case depends on its neighbours, or is longer.
-_ODD_CASE = re.compile("[\u03a3\u0130]")
+# Upper case whose lower case depends on its neighbours; the other one's is longer.
+_ODD_CASE = re.compile("\u03a3")
+_LONGER = "\u0130"
 _MARKS = string.punctuation
+_BLANK_BYTES = ("\u0120", "\u010a")
+_PIECE_END = "</w>"
 
 
 class WordEncoder:
@@ -37,7 +40,7 @@ class WordEncoder:
     "word", "word," and "word." are encoded once.
     """
 
-    def __init__(self, path: str, blanks: bool, cache_words: int = 600_000):
+    def __init__(self, path: str, blanks: bool, cache_words: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -47,12 +50,19 @@ class WordEncoder:
         self.blanks = blanks
         self.cache_words = cache_words
         self.cache: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        # Ids that begin with a blank or line feed (as byte-level vocabularies write
+        # them), or that end a piece.
+        self.edge = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.edge[[i for token, i in vocabulary.items() if (
+            token[:1] in _BLANK_BYTES if blanks else token.endswith(_PIECE_END))]] = True
 
     def _words(self, text: str) -> list[str] | None:
         if _ODD_SPACE.search(text) or self.added.search(text):
             return None
         if not self.blanks:
+            if _LONGER in text:
+                return None
             if not text.isascii() and (_ODD_CASE.search(text) or not unicodedata.is_normalized("NFC", text)):
                 return text.split()
             return text.lower().split()
@@ -69,38 +79,53 @@ class WordEncoder:
 
     def _learn(self, words: Iterable[str]) -> None:
         words = list(words)
-        if len(self.cache) + len(words) > self.cache_words:
-            self.cache.clear()
-        if len(self.parts) + len(words) > self.cache_words:
-            self.parts.clear()
-        cut = []
+        cache = self.cache
+        if len(cache) + len(words) > self.cache_words:
+            cache.clear()
+        whole, cut = ["a"], []
         for word in words:
             core = word.rstrip(_MARKS)
             # Only after a letter is a mark sure to begin a piece of its own.
-            cut.append((core, word[len(core):]) if core and core[-1].isalpha() else (word, ""))
-        # Marks stand without a blank; the letter before them keeps them so.
-        new = {c for c, _ in cut if c not in self.parts}
-        new.update("a" + m for _, m in cut if m and "a" + m not in self.parts)
+            if len(core) == len(word) or not core or not core[-1].isalpha():
+                whole.append(word)
+            else:
+                # Marks stand without a blank; the letter before them keeps them so.
+                cut.append((word, core, "a" + word[len(core):]))
+        new = {part for _, *parts in cut for part in parts if part not in cache}
+        new.update(whole)
         self._learn_parts(list(new))
-        letter = len(self.parts.get("a") or self._learn_parts(["a"]) or self.parts["a"])
-        parts, cache = self.parts, self.cache
-        for word, (core, marks) in zip(words, cut):
-            cache[word] = parts[core] + parts["a" + marks][letter:] if marks else parts[core]
+        letter = len(cache["a"])
+        for word, core, marks in cut:
+            cache[word] = cache[core] + cache[marks][letter:]
 
     def _learn_parts(self, words: list[str]) -> None:
+        if self.blanks:
+            self._learn_row(words, True)
+        else:
+            # Letters alone are one piece, which one id ends.
+            self._learn_row([w for w in words if w.isalpha()], True)
+            self._learn_row([w for w in words if not w.isalpha()], False)
+
+    def _learn_row(self, words: list[str], by_edge: bool) -> None:
         for i in range(0, len(words), _GROUP):
             group = words[i:i + _GROUP]
             # The words in a row, as they would stand in a text.
             shown = [w if w[:1] == "\n" else " " + w for w in group] if self.blanks else [
                 w + " " for w in group]
-            begins = np.cumsum([0] + [len(w) for w in shown[:-1]])
             encoded = self.tokenizer.encode("".join(shown), add_special_tokens=False)
-            at = np.fromiter((o[0] for o in encoded.offsets), dtype=np.int64, count=len(encoded))
-            ends = (np.searchsorted(at, np.append(begins[1:], 1 << 62)) * 4).tolist()
-            ids = np.asarray(encoded.ids, dtype="<u4").tobytes()
+            ids = np.asarray(encoded.ids, dtype="<u4")
+            edges = np.flatnonzero(self.edge[ids]) if by_edge else ()
+            if len(edges) == len(group):
+                # No word has more than one, so each has its own.
+                ends = np.append(edges[1:], len(ids)) if self.blanks else edges + 1
+            else:
+                begins = np.cumsum([len(w) for w in shown[:-1]])
+                at = np.fromiter((o[0] for o in encoded.offsets), dtype=np.int64, count=len(encoded))
+                ends = np.append(np.searchsorted(at, begins), len(ids))
+            raw = ids.tobytes()
             start = 0
-            for w, end in zip(group, ends):
-                self.parts[w] = ids[start:end]
+            for w, end in zip(group, (ends * 4).tolist()):
+                self.cache[w] = raw[start:end]
                 start = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -158,4 +183,3 @@ def encoder(path: str, blanks: bool) -> Iterator[WordEncoder]:
         yield own
     finally:
         own.cache.clear()
-        own.parts.clear()
