@@ -486,6 +486,8 @@ def oracle_sql() -> dict[str, str]:
         "union_labelled": "SELECT doc_id, lang, quality, toxic FROM documents JOIN labels USING (doc_id) WHERE quality IN (0, 1)",
         "split_md5": """SELECT doc_id, CASE WHEN ('0x' || left(md5(doc_id::VARCHAR), 8))::BIGINT::DOUBLE / 4294967296.0 < 0.7
             THEN 'train' ELSE 'test' END AS part FROM documents""",
+        "split_exact": """SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('=' || doc_id::VARCHAR))
+              <= ceil(0.3 * (SELECT count(*) FROM documents)) THEN 'test' ELSE 'train' END AS part FROM documents""",
         "relation_links": _query(_RULED, """SELECT id, e1, e2, preds, relation_name, link
             FROM ruled LEFT JOIN dict ON preds = relation"""),
         "result_lines": _query([*_RULED, "links"], r"""SELECT unnest([

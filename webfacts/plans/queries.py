@@ -12,7 +12,8 @@ from webfacts.functions import marking as M
 from webfacts.functions import similarity, sql
 from webfacts.functions import text as T
 from webfacts.operators import (
-    containment, features, linking, model, pages, paths, relations, results, scoring, tagging)
+    containment, features, linking, model, pages, paths, relations, results, scoring, splitting,
+    tagging)
 from webfacts.operators.joins import cut_lineage, shared_folder
 from webfacts.plans import facts, inputs
 from webfacts.sources import archives, files
@@ -428,6 +429,12 @@ def split_md5(spark, sf):
     return train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
 
 
+def split_exact(spark, sf):
+    docs = inputs.table(spark, sf, "documents").select("doc_id")
+    train, test = splitting.split_exact(docs, "doc_id")
+    return train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
+
+
 def svm_predictions(spark, sf):
     train, test = model.split_by_key(inputs.labelled_pairs(spark, sf), "id")
     fitted = model.fit_relations(train)
@@ -507,7 +514,7 @@ CATALOGUE: list[Callable[[SparkSession, str], DataFrame]] = [
     marked_parts, quoted_lines, entity_types, train_entity_types, train_entity_pos,
     relation_labels, clean_pair_sentence, connecting_paths, token_lists, feature_rows,
     feature_paths, prediction_features, training_features,
-    tfidf_words, tfidf_whitespace, tfidf_bigrams, tfidf_branches, union_labelled, split_md5,
+    tfidf_words, tfidf_whitespace, tfidf_bigrams, tfidf_branches, union_labelled, split_md5, split_exact,
     ruled_predictions, svm_predictions, svm_grid, relation_links,
     result_lines, one_link_per_entity, link_lookup, gold_rows, pred_rows,
     score_entities, score_relations, page_facts,
