@@ -108,3 +108,17 @@ def test_plan_has_no_python_and_one_sentence_shuffle(spark, dictionary):
     physical = tagged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in physical
     assert physical.count("Exchange hashpartitioning(id") == 1
+
+
+def test_sentences_without_an_entity_are_not_shuffled(spark, dictionary, monkeypatch):
+    one = sentences(spark, "cat here", "none here", "cat cat", "")
+    rows = one.unionAll(one).unionAll(one.where("text = 'cat cat'"))
+    got = tagging.tag_entities(rows, dictionary, mentioned_only=True)
+    physical = got._jdf.queryExecution().executedPlan().toString()
+    assert "Inner, BuildRight" in physical and "LeftOuter" not in physical
+    # Beyond the limit the sentences are shuffled, with the same result.
+    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", 0, False))
+    other = tagging.tag_entities(rows, dictionary, mentioned_only=True, limit=0)
+    assert sorted(map(str, got.collect())) == sorted(map(str, other.collect()))
+    assert sorted((r["id"], len(r["entity"])) for r in got.collect()) == [
+        ("p0", 1), ("p0", 1), ("p2", 2), ("p2", 2), ("p2", 2)]
