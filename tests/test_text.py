@@ -96,3 +96,14 @@ def test_sql_marker_and_sentence_table(spark):
     assert [r["m"] for r in got] == [r["m"] for r in rows.select(mark_pair(X, F.col("n")).alias("m")).collect()]
     table = spark.sql("SELECT d.x, s.* FROM {d} d, LATERAL sentence_rows(d.x) s", d=rows.where("x LIKE 'A%'"))
     assert [tuple(r)[1:] for r in table.collect()] == [(0, "A Cat and a cat dog.", "cat cat dog")]
+
+
+def test_letters_of_plain_texts(evaluate):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aZ9_ .'-\t\né一~") for _ in range(12)) for _ in range(200)]
+    texts += ["".join(rng.choice("aZ9_ .'-\t\n~") for _ in range(12)) for _ in range(200)] + ["", None]
+    c = F.col("c")
+    rows = [(t,) for t in texts]
+    assert evaluate(T.plain_letters(c), rows, "c string") == evaluate(
+        T.letters_only(T.keep_ascii_words(c)), rows, "c string")
+    assert evaluate(T.collapse_ws(c), [("  a  b\t\tc  d e\x1c",), (" ",)], "c string") == ["a b c d e", ""]

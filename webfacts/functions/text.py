@@ -36,8 +36,11 @@ def strip(c: Column) -> Column:
 
 
 def collapse_ws(c: Column) -> Column:
-    """Runs of blanks become one blank; none stay at the ends."""
-    return F.trim(F.regexp_replace(c, f"{UNICODE}[{BLANK}]+", " "))
+    """Runs of blanks become one blank; none stay at the ends.
+
+    A plain blank alone stays as it is, so most blanks are passed over.
+    """
+    return F.trim(F.regexp_replace(c, f"{UNICODE}[{BLANK}&&[^ ]][{BLANK}]*| [{BLANK}]+", " "))
 
 
 def sentences(c: Column) -> Column:
@@ -62,6 +65,13 @@ def letters_only(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, "[^a-z]+", " "))
 
 
+def plain_letters(c: Column) -> Column:
+    """``letters_only`` of ``keep_ascii_words``. In a text of ASCII characters alone no
+    word goes, so one replacement does the same."""
+    ascii_only = F.octet_length(c) == F.length(c)
+    return F.when(ascii_only, letters_only(F.lower(c))).otherwise(letters_only(keep_ascii_words(c)))
+
+
 def drop_unprintable(c: Column) -> Column:
     """Remove control, format and separator characters other than the blank."""
     return F.regexp_replace(
@@ -91,7 +101,7 @@ def clean_tokens(c: Column, stop: Iterable[str] = STOP_WORDS) -> Column:
     After ``letters_only`` nothing unprintable can be left, so that step is
     not repeated here.
     """
-    return drop_stop_words(split_words(letters_only(keep_ascii_words(c))), stop)
+    return drop_stop_words(split_words(plain_letters(c)), stop)
 
 
 def clean_sentence(c: Column, stop: Iterable[str] = STOP_WORDS) -> Column:
@@ -154,4 +164,4 @@ def term_counts(tokens: Column) -> Column:
         return let(starts, lambda st: F.transform(st, lambda s, j: F.struct(
             F.get(srt, s).alias("term"),
             (F.coalesce(F.get(st, j + 1), n) - s).alias("tf"))))
-    return let(F.array_sort(tokens), runs)
+    return let(F.sort_array(tokens), runs)
