@@ -61,3 +61,12 @@ def test_scores_of_nothing_are_null(spark):
     assert scoring.score_relations(empty, empty).first()["f1"] is None
     missed = scoring.score_entities(lines(spark, GOLD[0]), lines(spark, "ENTITY: r1\tCat\tzz")).first()
     assert (missed["correct"], missed["f1"]) == (0, None)
+
+
+def test_sentences_of_the_query_are_tagged_once(spark, monkeypatch):
+    from conftest import DATA
+    from webfacts.plans import inputs, queries
+    calls, tagged = [], inputs.tagged
+    monkeypatch.setattr(inputs, "tagged", lambda *a, **k: calls.append(a) or tagged(*a, **k))
+    lines = queries.result_lines(spark, DATA)
+    assert len(calls) == 1 and lines.columns == ["value"]

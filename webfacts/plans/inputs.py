@@ -140,22 +140,27 @@ def known_relations(spark: SparkSession) -> DataFrame:
         KNOWN_RELATIONS, "label string, subject_url string, object_url string, relation_url string")
 
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct marked sentences with both marks, split into their parts."""
-    rows = relations.relation_candidates(tagged(spark, sf_dir, mentioned_only=True))
+def pairs(spark: SparkSession, sf_dir: str, marked: DataFrame | None = None) -> DataFrame:
+    """Distinct marked sentences with both marks, split into their parts. ``marked``
+    are the tagged sentences, if they are at hand."""
+    if marked is None:
+        marked = tagged(spark, sf_dir, mentioned_only=True)
+    rows = relations.relation_candidates(marked)
     return relations.split_marked(rows, "labeled_text")
 
 
-def ruled_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ruled_relations(spark: SparkSession, sf_dir: str, marked: DataFrame | None = None) -> DataFrame:
     """Marked pairs with a relation label given by rule, and ``nan`` classes."""
     named = F.array(*[F.lit(r) for r, _, _ in RELATION_DICTIONARY] + [F.lit("Unheard of")])
     n = (F.length("between_e1_e2") % (len(RELATION_DICTIONARY) + 1) + 1).cast("int")
-    return pairs(spark, sf_dir).select("id", "e1", "e2", F.element_at(named, n).alias("preds"))
+    return pairs(spark, sf_dir, marked).select("id", "e1", "e2", F.element_at(named, n).alias("preds"))
 
 
-def ruled_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ruled_links(spark: SparkSession, sf_dir: str, marked: DataFrame | None = None) -> DataFrame:
     """Link rows by rule: some entities have none, some a null link."""
-    rows = tagged(spark, sf_dir, mentioned_only=True).select("id", F.explode("entity.text").alias("entity"))
+    if marked is None:
+        marked = tagged(spark, sf_dir, mentioned_only=True)
+    rows = marked.select("id", F.explode("entity.text").alias("entity"))
     n = F.length("entity") % 4
     return rows.where(n != 3).select("id", "entity", F.when(
         n != 2, F.concat(F.lit("https://kb.example.org/"), F.col("entity"))).alias("linking"))
