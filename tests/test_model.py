@@ -164,6 +164,24 @@ def test_fit_equals_a_dense_fit(spark, monkeypatch, cells, c):
     assert [got[k] for k in sorted(got)] == said
 
 
+def test_rows_that_look_alike_are_one_example(spark):
+    """Rows that differ in their id alone train as one, with the idf and weight of all."""
+    rows = labelled(spark, 12).drop(model.ROW)
+    again = rows.withColumn("id", F.concat("id", F.lit("-again"))).where("e1 <> 'thing3'")
+    both = model.with_row_id(rows.unionAll(again).withColumn(
+        "label", F.when(F.col("e2") == "item1", "Other nan").otherwise(F.col("label"))))
+    assert both.count() > 12
+    examples, _ = model._examples(both.withColumn("_fold", F.lit(0)), 0)
+    assert examples.count() == 12 and examples.agg(F.sum("copies")).first()[0] == both.count()
+    fitted = model.fit_relations(both)
+    x, labels, copies, _ = dense(both)
+    terms = sorted((r["branch"], r["term"], r["coef"]) for r in fitted.terms.collect())
+    w = np.vstack([fitted.intercepts, [t[2] for t in terms]])
+    for k, name in enumerate(fitted.labels):
+        sign = np.where(np.array(labels) == name, 1.0, -1.0)
+        assert w[:, k] == pytest.approx(newton(x, sign, 1000.0 * copies), abs=1e-6)
+
+
 def test_stored_model(spark, tmp_path):
     rows = labelled(spark, 12)
     fitted = model.fit_relations(rows)
