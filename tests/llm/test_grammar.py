@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 
 from webfacts.llm import grammar
 from webfacts.llm.queries import tokenizer_file
-from webfacts.llm.tokens import WordEncoder
+from webfacts.llm.tokens import WordEncoder, encoder
 
 FIRST = 1000
 
@@ -125,3 +125,20 @@ def test_random_texts_encode_as_the_library_does():
             found = [f for at in range(0, len(texts), 100) for f in encoder.encode(texts[at:at + 100])]
             assert [np.frombuffer(f, "<u4").tolist() for f in found] == [
                 encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_stay_learned_only_where_asked():
+    """A worker that keeps its words learns a word once for all its tasks, with equal ids."""
+    path = tokenizer_file("word_bpe_49k.json")
+    texts = ["one twoish words, words.", "twoish o'clock zzyzx"]
+    with encoder(path, False) as words:
+        plain = words.encode(texts)
+    assert not words.cache
+    with encoder(path, False, keep=True) as words:
+        assert words.encode(texts[:1]) == plain[:1]
+    with encoder(path, False, keep=True) as words:
+        assert {"twoish", "words,", "words."} <= set(words.cache)
+        assert words.encode(texts) == plain
+    with encoder(path, False):
+        pass
+    assert not words.cache

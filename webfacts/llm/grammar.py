@@ -221,7 +221,7 @@ def write_shards(
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with encoder(tokenizer, False) as words:
+        with encoder(tokenizer, False, keep=True) as words:
             yield from shards(batches, words.encode)
 
     def shards(batches: Iterator[pa.RecordBatch], encode: Callable) -> Iterator[pa.RecordBatch]:

@@ -112,13 +112,17 @@ class WordEncoder:
             # The words in a row, as they would stand in a text.
             shown = [w if w[:1] == "\n" else " " + w for w in group] if self.blanks else [
                 w + " " for w in group]
-            encoded = self.tokenizer.encode("".join(shown), add_special_tokens=False)
-            ids = np.asarray(encoded.ids, dtype="<u4")
-            edges = np.flatnonzero(self.edge[ids]) if by_edge else ()
+            row, edges = "".join(shown), ()
+            if by_edge:
+                # Without the places of the ids in the text, which cost much of the time.
+                ids = np.asarray(self.tokenizer.encode_batch_fast([row], add_special_tokens=False)[0].ids, dtype="<u4")
+                edges = np.flatnonzero(self.edge[ids])
             if len(edges) == len(group):
                 # No word has more than one, so each has its own.
                 ends = np.append(edges[1:], len(ids)) if self.blanks else edges + 1
             else:
+                encoded = self.tokenizer.encode(row, add_special_tokens=False)
+                ids = np.asarray(encoded.ids, dtype="<u4")
                 begins = np.cumsum([len(w) for w in shown[:-1]])
                 at = np.fromiter((o[0] for o in encoded.offsets), dtype=np.int64, count=len(encoded))
                 ends = np.append(np.searchsorted(at, begins), len(ids))
@@ -167,11 +171,12 @@ _TOKENIZERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
 @contextmanager
-def encoder(path: str, blanks: bool) -> Iterator[WordEncoder]:
+def encoder(path: str, blanks: bool, keep: bool = False) -> Iterator[WordEncoder]:
     """The worker's encoder for a vocabulary file, for one task.
 
     The words it learned are let go with the task: a worker that goes on to other work
-    must not hold them.
+    must not hold them. With ``keep`` they stay for the worker's next task, within
+    the encoder's ``cache_words``, so that a word is learned once and not in every task.
     """
     import os
 
@@ -182,4 +187,5 @@ def encoder(path: str, blanks: bool) -> Iterator[WordEncoder]:
     try:
         yield own
     finally:
-        own.cache.clear()
+        if not keep:
+            own.cache.clear()
