@@ -1,3 +1,4 @@
+from webfacts.operators import paths
 from webfacts.operators import relations
 
 ENTITY = "array<struct<text:string,label:string,`pos-tags`:string>>"
@@ -40,3 +41,29 @@ def test_training_features(spark):
     assert got["id"] is None and len(got["parse_list"]) == 2
     bare = relations.relation_features(rows.drop("parse_list"), training=True).first()
     assert bare["e1_postag"] is None
+
+
+def test_costly_rows_are_not_put_into_one_task(spark):
+    from webfacts.operators.model import prediction_features
+    word = "struct<text:string,label:string,`pos-tags`:string>"
+    tagged = spark.range(64).selectExpr(
+        "concat('d', id) id", "1 sent_no", "concat('<e1>a', id, '</e1> of <e2>b</e2>') labeled_text",
+        f"cast(array(struct('a', 'ORG', 'X'), struct('b', 'ORG', 'X')) as array<{word}>) entity")
+    tokens = tagged.selectExpr("concat(id, '-1') sent_id", "posexplode(array('a', 'of', 'b')) as (pos, token)").selectExpr(
+        "sent_id", "pos + 1 pos", "1 head", "token", "'X' tag", "'d' dep")
+    parts = prediction_features(tagged, tokens).selectExpr("spark_partition_id() p").distinct().count()
+    edges = paths.token_edges(tokens).selectExpr("spark_partition_id() p").distinct().count()
+    assert parts > 1 and edges > 1
+
+
+def test_sentences_are_cut_once_and_of_labelled_documents_only(spark, monkeypatch):
+    from conftest import DATA
+    from webfacts.plans import inputs, queries
+    calls, cut = [], inputs.doc_sentences
+    monkeypatch.setattr(inputs, "doc_sentences", lambda *a, **k: calls.append(a) or cut(*a, **k))
+    queries._feature_rows(spark, DATA)
+    inputs.labelled_features(spark, DATA)
+    assert len(calls) == 2
+    ids = spark.createDataFrame([("doc-1",), ("doc-3",), ("doc-3",), (None,)], "id string")
+    some, every = cut(spark, DATA, ids), cut(spark, DATA).where("id IN ('doc-1', 'doc-3')")
+    assert some.count() == every.count() > 0 and some.exceptAll(every).isEmpty()
