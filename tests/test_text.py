@@ -107,3 +107,14 @@ def test_letters_of_plain_texts(evaluate):
     assert evaluate(T.plain_letters(c), rows, "c string") == evaluate(
         T.letters_only(T.keep_ascii_words(c)), rows, "c string")
     assert evaluate(T.collapse_ws(c), [("  a  b\t\tc  d e\x1c",), (" ",)], "c string") == ["a b c d e", ""]
+
+
+def test_clean_tokens_are_those_of_its_steps(evaluate):
+    rng = random.Random(8)
+    parts = ["cannot", "Gonna", "the", "Cat", "don't", "x9", "can", "not", "\u00e9t\u00e9", "1\u4e00a", "\u0130s", "\u212a", "_a", ""]
+    rows = [(rng.choice(["", " "]).join(rng.choice(parts) + rng.choice([" ", "-", "_", "\t", "", "."]) for _ in range(9)),)
+            for _ in range(300)] + [("",), (None,), (" \u00e9",)]
+    c = F.col("c")
+    steps = T.drop_stop_words(T.split_words(T.letters_only(T.keep_ascii_words(c))))
+    assert evaluate(T.clean_tokens(c), rows, "c string") == evaluate(steps, rows, "c string")
+    assert evaluate(T.clean_tokens(c, []), [("a  Cat",), ("",)], "c string") == [["a", "cat"], []]

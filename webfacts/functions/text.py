@@ -68,8 +68,17 @@ def letters_only(c: Column) -> Column:
 def plain_letters(c: Column) -> Column:
     """``letters_only`` of ``keep_ascii_words``. In a text of ASCII characters alone no
     word goes, so one replacement does the same."""
+    return letters_only(_ascii_words(c))
+
+
+def _ascii_words(c: Column) -> Column:
+    """Lower-cased text without the words that hold a non-ASCII character; anything
+    but letters may stand between its words."""
     ascii_only = F.octet_length(c) == F.length(c)
-    return F.when(ascii_only, letters_only(F.lower(c))).otherwise(letters_only(keep_ascii_words(c)))
+    # ASCII word characters by name: most are found before the properties are tried.
+    words = F.lower(F.regexp_replace(c, f"[^0-9A-Za-z_{WORD}]+", " "))
+    kept = F.regexp_replace(words, r"(?<![^ ])[!-~]*+[^\x00-\x7F][^ ]*+", "")
+    return F.when(ascii_only, F.lower(c)).otherwise(kept)
 
 
 def drop_unprintable(c: Column) -> Column:
@@ -78,13 +87,18 @@ def drop_unprintable(c: Column) -> Column:
         c, r"\p{C}|[\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]", "")
 
 
+def _rare(words: Column) -> Column:
+    """Whether a two-part word can be among them."""
+    return reduce(or_, [F.contains(words, F.lit(a + b)) for a, b in CONTRACTIONS])
+
+
+_GAPS = "|".join(rf"(?<=\b{a})(?={b}\b)" for a, b in CONTRACTIONS)
+
+
 def split_words(c: Column) -> Column:
     """Non-empty pieces between blanks, with two-part words separated."""
-    gaps = "|".join(rf"(?<=\b{a})(?={b}\b)" for a, b in CONTRACTIONS)
-
     def part(words: Column) -> Column:
-        rare = reduce(or_, [F.contains(words, F.lit(a + b)) for a, b in CONTRACTIONS])
-        return F.when(rare, F.regexp_replace(words, gaps, " ")).otherwise(words)
+        return F.when(_rare(words), F.regexp_replace(words, _GAPS, " ")).otherwise(words)
 
     return F.filter(F.split(let(c, part), " "), lambda t: t != "")
 
@@ -96,12 +110,18 @@ def drop_stop_words(tokens: Column, stop: Iterable[str] = STOP_WORDS) -> Column:
 
 
 def clean_tokens(c: Column, stop: Iterable[str] = STOP_WORDS) -> Column:
-    """Sentence to its cleaned tokens.
+    """Sentence to its cleaned tokens: ``drop_stop_words`` of ``split_words`` of
+    ``plain_letters``, in one cut and one pass over the pieces.
 
     After ``letters_only`` nothing unprintable can be left, so that step is
-    not repeated here.
+    not repeated here. Tokens are in lower case.
     """
-    return drop_stop_words(split_words(plain_letters(c)), stop)
+    def pieces(words: Column) -> Column:
+        parted = F.split(F.regexp_replace(letters_only(words), _GAPS, " "), " ")
+        return F.when(_rare(words), parted).otherwise(F.split(words, "[^a-z]+"))
+
+    dropped = ["", *[w.casefold() for w in stop]]
+    return F.filter(let(_ascii_words(c), pieces), lambda t: ~t.isin(dropped))
 
 
 def clean_sentence(c: Column, stop: Iterable[str] = STOP_WORDS) -> Column:
