@@ -142,3 +142,18 @@ def test_words_stay_learned_only_where_asked():
     with encoder(path, False):
         pass
     assert not words.cache
+
+
+def test_words_set_aside_come_back():
+    """A full store forgets the words that were not met of late, and not the others."""
+    for name, blanks in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        words = WordEncoder(tokenizer_file(name), blanks, 40)
+        plain = [words._whole(t) for t in ("x often here", "y often there")]
+        learned, learn_parts = [], words._learn_parts
+        words._learn_parts = lambda parts: learned.extend(parts) or learn_parts(parts)
+        assert words.encode(["x often here"]) == plain[:1]
+        for n in range(4):
+            words.encode(["x often " + " ".join(f"w{n}v{m}" for m in range(12))])
+        assert words.encode(["y often there"]) == plain[1:]
+        assert learned.count("often") == 1
+        assert len(words.cache) + len(words.aside) < 60

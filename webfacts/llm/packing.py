@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from webfacts.llm.tokens import encoder
+from webfacts.llm.tokens import CACHE_WORDS, encoder
 
 CAPACITY = 2048
 # Pieces that are balanced together; a documented size, every piece is in one batch.
@@ -87,7 +87,7 @@ def near_equal_windows(sizes: list[int], capacity: int = CAPACITY) -> list[list[
 def pack(
     docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
     text: str = "text", doc_id: str = "doc_id", batch: int = BATCH, piece: int = PIECE,
-    keep_ids: bool = False,
+    keep_ids: bool = False, keep_words: int = 0,
 ) -> DataFrame:
     """One row per piece: ``(doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset)`` and, if asked for, ``ids`` (little-endian unsigned
@@ -98,7 +98,8 @@ def pack(
     the task's partition, so a task that runs again gives the same rows. Defined
     cases: a null or empty text is its end id alone; null ids stay null;
     repeated rows are packed each; an empty table gives an empty table; other
-    columns are left out.
+    columns are left out. A worker keeps up to ``keep_words`` words with their ids
+    for its next task (some 200 bytes each), so that they are encoded once; with 0 none.
     """
     names = ["doc_id long", "start long", "length long", "ids_crc32 long", "doc_tokens long",
              "sequence_id long", "offset long"] + ["ids binary"] * keep_ids
@@ -107,7 +108,7 @@ def pack(
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with encoder(tokenizer, True) as words:
+        with encoder(tokenizer, True, keep_words > 0, keep_words or CACHE_WORDS) as words:
             yield from packed_pieces(batches, words.encode)
 
     def packed_pieces(batches: Iterator[pa.RecordBatch], encode: Callable) -> Iterator[pa.RecordBatch]:

@@ -18,6 +18,7 @@ import numpy as np
 # White space beyond blank and line feed, or two of these in a row.
 _ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _GROUP = 1024
+CACHE_WORDS = 800_000
 # Upper case whose lower case depends on its neighbours; the other one's is longer.
 _ODD_CASE = re.compile("\u03a3")
 _LONGER = "\u0130"
@@ -31,8 +32,9 @@ class WordEncoder:
 
     ``blanks=True`` is for byte-level vocabularies whose tokens begin with the
     blank before a word, ``blanks=False`` for those that drop white space and
-    case. ``cache_words`` bounds the memory, not the result: a full cache is
-    emptied. Texts that hold the string of an added token are encoded whole, as the
+    case. ``cache_words`` bounds the memory, not the result: when half as many words are
+    learned they are set aside, those set aside before are forgotten, and a word set aside
+    comes back when it is met again, so frequent words are not learned anew. Texts that hold the string of an added token are encoded whole, as the
     library finds such tokens before all else.
 
     A word is looked up as it stands. One not seen before is made of its letters
@@ -40,7 +42,7 @@ class WordEncoder:
     "word", "word," and "word." are encoded once.
     """
 
-    def __init__(self, path: str, blanks: bool, cache_words: int = 800_000):
+    def __init__(self, path: str, blanks: bool, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -50,6 +52,7 @@ class WordEncoder:
         self.blanks = blanks
         self.cache_words = cache_words
         self.cache: dict[str, bytes] = {}
+        self.aside: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         # Ids that begin with a blank or line feed (as byte-level vocabularies write
         # them), or that end a piece.
@@ -79,9 +82,18 @@ class WordEncoder:
 
     def _learn(self, words: Iterable[str]) -> None:
         words = list(words)
+        stores = [self.aside]
+        if len(self.cache) + len(words) > self.cache_words // 2:
+            self.cache, self.aside = {}, self.cache
+            stores.append(self.aside)
         cache = self.cache
-        if len(cache) + len(words) > self.cache_words:
-            cache.clear()
+
+        def unlearned(some: list[str]) -> list[str]:
+            for store in filter(None, stores):
+                cache.update((word, store[word]) for word in some if word in store)
+            return [word for word in some if word not in cache]
+
+        words = unlearned(words)
         whole, cut = ["a"], []
         for word in words:
             core = word.rstrip(_MARKS)
@@ -91,7 +103,7 @@ class WordEncoder:
             else:
                 # Marks stand without a blank; the letter before them keeps them so.
                 cut.append((word, core, "a" + word[len(core):]))
-        new = {part for _, *parts in cut for part in parts if part not in cache}
+        new = set(unlearned([part for _, *parts in cut for part in parts]))
         new.update(whole)
         self._learn_parts(list(new))
         letter = len(cache["a"])
@@ -137,6 +149,7 @@ class WordEncoder:
         found: list[list[bytes | None] | None] = []
         words_of: list[list[str]] = []
         get = self.cache.get
+        firsts: list[int] = []
         unknown: set[str] = set()
         gaps: dict[int, list[int]] = {}
         for i, text in enumerate(texts):
@@ -148,14 +161,19 @@ class WordEncoder:
             one = list(map(get, words))
             if self.blanks and words:
                 # The first word of a text has no blank before it.
-                one[0] = self._whole(words[0])
+                firsts.append(i)
+                one[0] = b""
             missing = [j for j, ids in enumerate(one) if ids is None]
             if missing:
                 gaps[i] = missing
                 unknown.update([words[j] for j in missing])
             words_of.append(words)
             found.append(one)
-        if len(unknown) > self.cache_words:
+        if firsts:
+            encoded = self.tokenizer.encode_batch_fast([words_of[i][0] for i in firsts], add_special_tokens=False)
+            for i, one in zip(firsts, encoded):
+                found[i][0] = np.asarray(one.ids, dtype="<u4").tobytes()
+        if len(unknown) > self.cache_words // 2:
             for i in gaps:
                 found[i] = [self._whole(texts[i])]
         elif unknown:
@@ -171,7 +189,9 @@ _TOKENIZERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
 @contextmanager
-def encoder(path: str, blanks: bool, keep: bool = False) -> Iterator[WordEncoder]:
+def encoder(
+    path: str, blanks: bool, keep: bool = False, cache_words: int = CACHE_WORDS,
+) -> Iterator[WordEncoder]:
     """The worker's encoder for a vocabulary file, for one task.
 
     The words it learned are let go with the task: a worker that goes on to other work
@@ -184,8 +204,9 @@ def encoder(path: str, blanks: bool, keep: bool = False) -> Iterator[WordEncoder
     if (path, blanks) not in _TOKENIZERS:
         _TOKENIZERS[path, blanks] = WordEncoder(path, blanks)
     own = _TOKENIZERS[path, blanks]
+    own.cache_words = cache_words
     try:
         yield own
     finally:
         if not keep:
-            own.cache.clear()
+            own.cache, own.aside = {}, {}
