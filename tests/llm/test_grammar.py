@@ -157,3 +157,22 @@ def test_words_set_aside_come_back():
         assert words.encode(["y often there"]) == plain[1:]
         assert learned.count("often") == 1
         assert len(words.cache) + len(words.aside) < 60
+
+
+def test_each_distinct_word_is_looked_up_once():
+    class Counted(dict):
+        lookups = 0
+
+        def get(self, word, other=None):
+            self.lookups += 1
+            return super().get(word, other)
+
+    texts = ["some words come again, some words do not\nagain " + f"w{'xyz' [n % 3]}" for n in range(200)]
+    for name, blanks in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        words = WordEncoder(tokenizer_file(name), blanks)
+        plain = [words._whole(t) for t in texts]
+        words.cache = Counted()
+        assert words.encode(texts) == plain
+        assert words.cache.lookups < 50
+        # Words of plain letters are not searched for pieces.
+        assert words.plain

@@ -38,7 +38,8 @@ SHARD_TOKENS = 1 << 19
 # The grammar grows while pairs occur this often, so many new symbols a round.
 LEAST_COUNT = 24
 PAIRS_PER_ROUND = 4000
-_TEXTS_AT_ONCE = 256
+# Encoded together, as each distinct word among them is looked up once.
+_TEXTS_AT_ONCE = 4096
 _BUCKET_BITS = 19
 
 FILE_SCHEMA = (

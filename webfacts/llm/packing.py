@@ -28,6 +28,8 @@ CAPACITY = 2048
 BATCH = 1024
 PIECE = 512
 _TEXTS_AT_ONCE = 256
+# Encoded together, as each distinct word among them is looked up once.
+_ENCODED_AT_ONCE = 4096
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
@@ -111,6 +113,12 @@ def pack(
         with encoder(tokenizer, True, keep_words > 0, keep_words or CACHE_WORDS) as words:
             yield from packed_pieces(batches, words.encode)
 
+    def encoded_texts(batches: Iterator[pa.RecordBatch], encode: Callable) -> Iterator[tuple[list, list[bytes]]]:
+        for arrow in batches:
+            for at in range(0, arrow.num_rows, _ENCODED_AT_ONCE):
+                some = arrow.slice(at, _ENCODED_AT_ONCE)
+                yield some.column(0).to_pylist(), encode([t or "" for t in some.column(1).to_pylist()])
+
     def packed_pieces(batches: Iterator[pa.RecordBatch], encode: Callable) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 33
         pieces: list[tuple] = []
@@ -135,12 +143,10 @@ def pack(
             out, pieces = rows(pieces, places), []
             return out
 
-        for arrow in batches:
-            for at in range(0, arrow.num_rows, _TEXTS_AT_ONCE):
-                some = arrow.slice(at, _TEXTS_AT_ONCE)
-                keys, texts = some.column(0).to_pylist(), some.column(1).to_pylist()
+        for keys, encoded in encoded_texts(batches, encode):
+            for at in range(0, len(keys), _TEXTS_AT_ONCE):
                 full: list[tuple] = []
-                for key, ids in zip(keys, encode([t or "" for t in texts])):
+                for key, ids in zip(keys[at:at + _TEXTS_AT_ONCE], encoded[at:at + _TEXTS_AT_ONCE]):
                     ids += end
                     total = len(ids) // 4
                     rest = total - total % capacity

@@ -10,14 +10,20 @@ from __future__ import annotations
 import re
 import string
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space beyond blank and line feed, or two of these in a row.
 _ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _GROUP = 1024
+# Texts whose words are counted together, by their length; bounds the memory alone.
+_CHARS_AT_ONCE = 1 << 24
+# Letters that every version of Unicode has, each of them its own normal form.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 CACHE_WORDS = 800_000
 # Upper case whose lower case depends on its neighbours; the other one's is longer.
 _ODD_CASE = re.compile("\u03a3")
@@ -37,13 +43,14 @@ class WordEncoder:
     comes back when it is met again, so frequent words are not learned anew. Texts that hold the string of an added token are encoded whole, as the
     library finds such tokens before all else.
 
-    A word is looked up as it stands. One not seen before is made of its letters
-    and the marks after them, between which both pre-tokenizers cut; so
-    "word", "word," and "word." are encoded once.
+    Each distinct word of many texts is looked up once, as it stands. One not
+    found is made of its letters and the marks after them, between which both
+    pre-tokenizers cut; so "word", "word," and "word." are encoded once.
     """
 
     def __init__(self, path: str, blanks: bool, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -59,58 +66,78 @@ class WordEncoder:
         self.edge = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.edge[[i for token, i in vocabulary.items() if (
             token[:1] in _BLANK_BYTES if blanks else token.endswith(_PIECE_END))]] = True
+        # Words of plain letters need no search for their pieces, if the file is as expected.
+        self.model = self.tokenizer.model
+        letters = [c for c in map(chr, range(0x250)) if _LETTERS.fullmatch(c)]
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.byte_level = {ord(c): byte_level(c)[0][0] for c in letters}
+        probes = [c * n for c in letters for n in (1, 3) if blanks or c.islower()]
+        probes += ["".join(probes), "internationalization"]
+        whole = self.tokenizer.encode_batch_fast([" " * blanks + p for p in probes], add_special_tokens=False)
+        self.plain = self._letter_ids(probes) == [np.array(e.ids, dtype="<u4").tobytes() for e in whole]
 
-    def _words(self, text: str) -> list[str] | None:
+    def _spaced(self, text: str) -> str | None:
+        """The text with a blank between its words, or nothing if it is to be encoded whole."""
         if _ODD_SPACE.search(text) or self.added.search(text):
             return None
         if not self.blanks:
             if _LONGER in text:
                 return None
-            if not text.isascii() and (_ODD_CASE.search(text) or not unicodedata.is_normalized("NFC", text)):
-                return text.split()
-            return text.lower().split()
+            if text.isascii() or not (_ODD_CASE.search(text) or not unicodedata.is_normalized("NFC", text)):
+                text = text.lower()
+            return text.replace("\n", " ")
         if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
             return None
         # A word after a blank is known by its bare form; one that begins the
         # text or a line is marked by a line feed, which the ids then lack at
         # the beginning of the text.
-        return text.replace("\n", " \n").split(" ")
+        return text.replace("\n", " \n")
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: Iterable[str]) -> None:
-        words = list(words)
-        stores = [self.aside]
-        if len(self.cache) + len(words) > self.cache_words // 2:
-            self.cache, self.aside = {}, self.cache
-            stores.append(self.aside)
-        cache = self.cache
-
-        def unlearned(some: list[str]) -> list[str]:
-            for store in filter(None, stores):
-                cache.update((word, store[word]) for word in some if word in store)
-            return [word for word in some if word not in cache]
-
-        words = unlearned(words)
-        whole, cut = ["a"], []
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are not in ``cache``, of which their parts are then."""
+        parts, ends = [], []
         for word in words:
             core = word.rstrip(_MARKS)
             # Only after a letter is a mark sure to begin a piece of its own.
             if len(core) == len(word) or not core or not core[-1].isalpha():
-                whole.append(word)
+                parts.append(word)
+                ends.append("a")
             else:
                 # Marks stand without a blank; the letter before them keeps them so.
-                cut.append((word, core, "a" + word[len(core):]))
-        new = set(unlearned([part for _, *parts in cut for part in parts]))
-        new.update(whole)
-        self._learn_parts(list(new))
+                parts.append(core)
+                ends.append("a" + word[len(core):])
+        wanted = {"a", *parts, *ends}
+        new = [part for part in wanted if part not in self.cache]
+        stores = [self.aside]
+        if len(self.cache) + len(new) > self.cache_words // 2:
+            self.cache, self.aside = {}, self.cache
+            stores.append(self.aside)
+            new = list(wanted)
+        cache = self.cache
+        if not self.blanks:
+            # Between two blanks in a row.
+            cache[""] = b""
+        for store in filter(None, stores):
+            found = list(map(store.get, new))
+            cache.update((part, ids) for part, ids in zip(new, found) if ids is not None)
+            new = [part for part, ids in zip(new, found) if ids is None]
+        self._learn_parts(new)
         letter = len(cache["a"])
-        for word, core, marks in cut:
-            cache[word] = cache[core] + cache[marks][letter:]
+        marks = {end: cache[end][letter:] for end in set(ends)}
+        made = [ids + marks[end] if end != "a" else ids for ids, end in zip(map(cache.__getitem__, parts), ends)]
+        # Soon made again, so where room is short they leave it to words that are not.
+        if len(cache) + len(words) <= self.cache_words // 4:
+            cache.update(zip(words, made))
+        return made
 
     def _learn_parts(self, words: list[str]) -> None:
+        if self.plain:
+            letters, words = self._plain_letters(words)
+            self.cache.update(zip(letters, self._letter_ids(letters)))
         if self.blanks:
             self._learn_row(words, True)
         else:
@@ -118,6 +145,24 @@ class WordEncoder:
             self._learn_row([w for w in words if w.isalpha()], True)
             self._learn_row([w for w in words if not w.isalpha()], False)
 
+    def _plain_letters(self, words: list[str]) -> tuple[list[str], list[str]]:
+        """Words of plain letters, in lower case where the file drops case, and the others."""
+        plain = _LETTERS.fullmatch
+        fits = [plain(w) is not None and (self.blanks or w.islower()) for w in words]
+        return [w for w, fit in zip(words, fits) if fit], [w for w, fit in zip(words, fits) if not fit]
+
+    def _letter_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words of plain letters, each one piece to the pre-tokenizer, by the model alone."""
+        tokenize, begin = self.model.tokenize, _BLANK_BYTES[0] * self.blanks
+        flat: list[int] = []
+        ends = [0]
+        for word in words:
+            shown = word if word.isascii() else word.translate(self.byte_level)
+            flat += [token.id for token in tokenize(begin + shown)]
+            ends.append(4 * len(flat))
+        raw = np.array(flat, dtype="<u4").tobytes()
+        return [raw[start:end] for start, end in zip(ends, ends[1:])]
+
     def _learn_row(self, words: list[str], by_edge: bool) -> None:
         for i in range(0, len(words), _GROUP):
             group = words[i:i + _GROUP]
@@ -146,43 +191,51 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
-        found: list[list[bytes | None] | None] = []
-        words_of: list[list[str]] = []
-        get = self.cache.get
-        firsts: list[int] = []
-        unknown: set[str] = set()
-        gaps: dict[int, list[int]] = {}
+        out: list[bytes] = []
+        begin = size = 0
         for i, text in enumerate(texts):
-            words = self._words(text) if text else []
-            if words is None:
-                words_of.append([])
-                found.append([self._whole(text)])
-                continue
-            one = list(map(get, words))
-            if self.blanks and words:
-                # The first word of a text has no blank before it.
-                firsts.append(i)
-                one[0] = b""
-            missing = [j for j, ids in enumerate(one) if ids is None]
-            if missing:
-                gaps[i] = missing
-                unknown.update([words[j] for j in missing])
-            words_of.append(words)
-            found.append(one)
-        if firsts:
-            encoded = self.tokenizer.encode_batch_fast([words_of[i][0] for i in firsts], add_special_tokens=False)
-            for i, one in zip(firsts, encoded):
-                found[i][0] = np.asarray(one.ids, dtype="<u4").tobytes()
-        if len(unknown) > self.cache_words // 2:
-            for i in gaps:
-                found[i] = [self._whole(texts[i])]
-        elif unknown:
-            self._learn(unknown)
-            for i, missing in gaps.items():
-                words, one = words_of[i], found[i]
-                for j in missing:
-                    one[j] = self.cache[words[j]]
-        return list(map(b"".join, found))
+            if size and size + len(text) > _CHARS_AT_ONCE:
+                out += self._encode(texts[begin:i])
+                begin, size = i, 0
+            size += len(text)
+        return out + self._encode(texts[begin:])
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        spaced = [self._spaced(text) for text in texts]
+        own = [i for i, text in enumerate(spaced) if text]
+        out = [self._whole(text) if words is None else b"" for text, words in zip(texts, spaced)]
+        rests: list[str | None] = [spaced[i] for i in own]
+        if self.blanks and own:
+            # The first word of a text has no blank before it.
+            cut = [text.partition(" ") for text in rests]
+            rests = [rest if blank else None for _, blank, rest in cut]
+            encoded = self.tokenizer.encode_batch_fast([first for first, _, _ in cut], add_special_tokens=False)
+            for i, one in zip(own, encoded):
+                out[i] = np.asarray(one.ids, dtype="<u4").tobytes()
+        words = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        # Each distinct word is looked up once.
+        coded = words.values.dictionary_encode()
+        known = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        if known is None:
+            return [self._whole(text) for text in texts]
+        ids = pa.array(known, pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64, count=len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        places = ends[words.offsets.to_numpy()].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        for i, start, end in zip(own, places, places[1:]):
+            out[i] += raw[start:end]
+        return out
+
+    def _known(self, words: list[str]) -> list[bytes] | None:
+        """Ids of different words, or nothing if too many of them are new."""
+        found = list(map(self.cache.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if len(missing) > self.cache_words // 2:
+            return None
+        if missing:
+            for i, ids in zip(missing, self._learn([words[i] for i in missing])):
+                found[i] = ids
+        return found
 
 
 _TOKENIZERS: dict[tuple[str, bool], WordEncoder] = {}
