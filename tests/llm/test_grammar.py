@@ -176,3 +176,20 @@ def test_each_distinct_word_is_looked_up_once():
         assert words.cache.lookups < 50
         # Words of plain letters are not searched for pieces.
         assert words.plain
+
+
+def test_later_rounds_count_few_places(monkeypatch):
+    """After the first round only pairs that can have become frequent are counted."""
+    rng = np.random.default_rng(7)
+    ids = np.minimum(rng.zipf(1.3, 100_000), 30_000).astype(np.uint32)
+    ranks, counted = grammar._ranks, []
+
+    def watched(*given):
+        found = ranks(*given)
+        counted.append(int(np.count_nonzero(given[1])))
+        return found
+
+    monkeypatch.setattr(grammar, "_ranks", watched)
+    sequence, symbols, rules = grammar.compress(ids, np.array([25_000] * 4), 49408)
+    assert (grammar.expand(sequence, rules, 49408) == ids).all()
+    assert len(counted) > 3 and counted[-1] < len(sequence) / 10

@@ -48,25 +48,27 @@ FILE_SCHEMA = (
 
 
 def _ranks(
-    sequence: np.ndarray, closes: np.ndarray, kind: np.ndarray, least: int, most: int,
-) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent pairs, best first, as ``left << 32 | right``, and the
-    rank of the pair that begins at each place but the last, ``most`` for others.
+    sequence: np.ndarray, may: np.ndarray, kind: np.ndarray, least: int, most: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent pairs, best first, as ``left << 32 | right``, places in
+    ascending order and the rank of the pair that begins at each: ``most`` for
+    frequent pairs beyond the best, more for rare ones. Pairs at places that
+    ``may`` leaves out, and at those not returned, are rare.
 
     Exact: one kind of each hash bucket is counted by bucket, and the other
     kinds of the buckets that are full enough are sorted.
     """
-    left, right = sequence[:-1], sequence[1:]
-    bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(
-        32 - _BUCKET_BITS)
-    inside = ~closes[:-1]
-    heavy = np.bincount(bucket[inside], minlength=len(kind)) >= least
-    at = np.flatnonzero(inside & heavy[bucket])
-    bucket = bucket[at]
-    pairs = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+    at = np.flatnonzero(may)
+    left, right = sequence[at], sequence[at + 1]
+    bits = min(_BUCKET_BITS, max(8, len(at).bit_length()))
+    buckets = 1 << bits
+    bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - bits)
+    heavy = np.flatnonzero((np.bincount(bucket, minlength=buckets) >= least)[bucket])
+    at, bucket = at[heavy], bucket[heavy]
+    pairs = (left[heavy].astype(np.uint64) << np.uint64(32)) | right[heavy]
     kind[bucket] = pairs
     own = kind[bucket] == pairs
-    counts = np.bincount(bucket[own], minlength=len(kind))
+    counts = np.bincount(bucket[own], minlength=buckets)
     often = np.flatnonzero(counts >= least)
     others, which, sums = np.unique(pairs[~own], return_inverse=True, return_counts=True)
     rare = np.flatnonzero(sums >= least)
@@ -74,14 +76,13 @@ def _ranks(
     best = np.argsort(-np.concatenate([counts[often], sums[rare]]), kind="stable")[:most]
     order = np.full(len(often) + len(rare), most, dtype=np.int32)
     order[best] = np.arange(len(best), dtype=np.int32)
-    by_bucket = np.full(len(kind), most, dtype=np.int32)
+    by_bucket = np.full(buckets, most + 1, dtype=np.int32)
     by_bucket[often] = order[:len(often)]
-    by_other = np.full(len(others), most, dtype=np.int32)
+    by_other = np.full(len(others), most + 1, dtype=np.int32)
     by_other[rare] = order[len(often):]
-    rank = np.full(len(left), most, dtype=np.int32)
-    rank[at[own]] = by_bucket[bucket[own]]
-    rank[at[~own]] = by_other[which]
-    return kinds[best], rank
+    rank = by_bucket[bucket]
+    rank[~own] = by_other[which]
+    return kinds[best], at, rank
 
 
 def compress(
@@ -91,7 +92,8 @@ def compress(
     """``(sequence, symbols per document, rules)`` of documents of ``sizes`` ids.
 
     Rounds go on until no pair occurs ``least`` times or none can be replaced
-    twice. In a round, places where chosen pairs overlap go to the more frequent
+    twice. After the first, a round counts pairs with a symbol of the round before and
+    those that were frequent then, as no other pair can have become frequent. In a round, places where chosen pairs overlap go to the more frequent
     pair, and among equals, as in a row of one id, to every other one from the left.
     """
     sequence = ids.astype(np.uint32)
@@ -100,13 +102,15 @@ def compress(
     rules: list[np.ndarray] = []
     known = 0
     kind = np.zeros(1 << _BUCKET_BITS, dtype=np.uint64)
+    may = ~closes[:-1]
     while len(sequence) >= 2:
-        chosen, here = _ranks(sequence, closes, kind, least, per_round)
+        chosen, at, here = _ranks(sequence, may, kind, least, per_round)
         if not len(chosen):
             break
         # Places in a row of one rank are counted from the first that is free.
-        some = np.flatnonzero(here < per_round)
-        rank = here[some]
+        some, rank = at[here < per_round], here[here < per_round]
+        still = np.zeros(len(sequence), dtype=bool)
+        still[at[here <= per_round]] = True
         follows = np.diff(some, prepend=-2) == 1
         ahead = np.where(follows, np.roll(rank, 1), per_round)
         behind = np.where(np.append(follows[1:], False), np.roll(rank, -1), per_round)
@@ -132,7 +136,10 @@ def compress(
         closes[place] = closes[place + 1]
         keep = np.ones(len(sequence), dtype=bool)
         keep[place + 1] = False
-        sequence, closes = sequence[keep], closes[keep]
+        # Pairs with a new symbol; one place before the first would be the last.
+        still[place] = still[place[place > 0] - 1] = True
+        sequence, closes, still = sequence[keep], closes[keep], still[keep]
+        may = still[:-1] & ~closes[:-1]
     flat = np.concatenate(rules) if rules else np.empty(0, dtype=np.uint64)
     pairs = np.column_stack([flat >> np.uint64(32), flat & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
     return sequence, np.diff(np.flatnonzero(closes), prepend=-1), pairs
