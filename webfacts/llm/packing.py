@@ -29,7 +29,7 @@ BATCH = 1024
 PIECE = 512
 _TEXTS_AT_ONCE = 256
 # Encoded together, as each distinct word among them is looked up once.
-_ENCODED_AT_ONCE = 4096
+_ENCODED_AT_ONCE = 1024
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
