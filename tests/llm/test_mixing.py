@@ -1,4 +1,6 @@
 import collections
+import hashlib
+import math
 import random
 
 import pytest
@@ -73,3 +75,21 @@ def test_odd_tables(spark):
 def test_repeated(spark):
     docs = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "doc_id long, copies long")
     assert sorted(r["doc_id"] for r in mixing.repeated(docs).collect()) == [2, 3, 3]
+
+
+def test_nearest_of_the_drawn_offsets(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(["w"] * int(rng.paretovariate(1.1) * 9)), rng.choice(["a", "a", "b", None])) for i in range(300)]
+    found = collections.defaultdict(list)
+    for r in mixed(spark, rows):
+        found[r["source"]].append(r)
+    digest = lambda text: hashlib.md5(f"9|{text}".encode()).hexdigest()
+    for source, own in found.items():
+        own.sort(key=lambda r: (len(str(r["size"])), str(r["size"])[:2], digest(r["doc_id"]), r["size"]))
+        rate, key = own[0]["target"] / own[0]["source_size"], "~" if source is None else f"={source}"
+        tried = []
+        for i in range(16):
+            u = int(digest(f"{i}|{key}")[:8], 16) / 2 ** 32
+            copies = [math.floor(u + rate * k) - math.floor(u + rate * (k - 1)) for k in range(1, len(own) + 1)]
+            tried.append((abs(sum(c * r["size"] for c, r in zip(copies, own)) - own[0]["target"]), i, copies))
+        assert [r["copies"] for r in own] == min(tried)[2]

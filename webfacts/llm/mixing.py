@@ -1,9 +1,9 @@
 """Mixing sources to target weights by systematic sampling.
 
 Each document of a source is expected ``rate = target / source size`` times.
-The expected copies are summed up along the source, one random offset is added,
-and a document is emitted once for each whole number that its interval
-crosses. The documents of a source stand in order of size (two leading
+The expected copies are summed up along the source, an offset is added, and a
+document is emitted once for each whole number that its interval crosses. The
+offset of a source is the nearest to its target of some seeded draws. The documents of a source stand in order of size (two leading
 digits), then in a seeded order, so that long documents are spread evenly and
 the words taken come close to the target.
 
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from webfacts.llm.columns import group_key, leading, seeded, small, staged, word_count
 
 PIECE = 1024
+# The offset of a source is the one of so many seeded draws that takes its words
+# closest to the target.
+OFFSETS = 16
 # Columns that the operator works with; input columns of these names are
 # replaced, all others are kept.
 OWN = ["size", "source_size", "target", "copies", "taken"]
@@ -124,13 +127,19 @@ def mix(
         crossed = lambda rank: F.floor(offset + rate * rank)
         return (crossed(F.col("_rank")) - crossed(F.col("_rank") - 1)).cast("long")
 
-    # One random offset for each source, from the seed.
-    offset = leading(seeded(seed, F.col("_skey"))) / F.lit(2.0 ** 32)
-    crossed = lambda rank: F.floor(offset + rate * rank)
-    copies = (crossed(F.col("_rank")) - crossed(F.col("_rank") - 1)).cast("long")
+    drawn = [leading(seeded(seed, F.concat(F.lit(f"{i}|"), F.col("_skey")))) / F.lit(2.0 ** 32)
+             for i in range(OFFSETS)]
+    words = (
+        ranked(keys).groupBy("_skey").agg(
+            F.first("target").alias("_target"),
+            *[F.sum(copies(offset) * F.col("_size")).alias(f"_sum{i}") for i, offset in enumerate(drawn)]))
+    nearest = F.array_min(F.array(*[
+        F.struct(F.abs(F.col(f"_sum{i}") - F.col("_target")).alias("off"), F.lit(i).alias("i"),
+                 offset.alias("offset")) for i, offset in enumerate(drawn)]))
+    offsets = small(words.select("_skey", nearest["offset"].alias("_offset")))
     kept = [c for c in docs.columns if c in sized.columns]
     return (
-        ranked(sized).withColumn("copies", copies)
+        ranked(sized).join(offsets, "_skey").withColumn("copies", copies(F.col("_offset")))
         .select(*[F.col(f"`{c}`") for c in kept], F.col("_size").alias("size"), "source_size", "target",
                 "copies", (F.col("copies") * F.col("_size")).alias("taken")))
 
