@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +76,19 @@ def test_row_hash_sees_nulls(spark):
 def test_run_folder_is_in_the_checkpoint_folder(spark):
     assert joins.cut_lineage(spark.range(5)).count() == 5
     assert joins.shared_folder(spark).startswith(spark.sparkContext.getCheckpointDir())
+
+
+def test_stored_frames_leave_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in held.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = shuffled()
+    stored = joins.cut_lineage(spark.range(1000).selectExpr("id % 7 AS a", "id").groupBy("a").count())
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert sorted(map(tuple, stored.collect())) == [(i, 143 - (i == 6)) for i in range(7)]
+    assert spark.conf.get(key) == "false"
+    joins.forget(stored)
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in stored.inputFiles())

@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import plan_text
 from webfacts.constants import FEATURE_BRANCHES
 from webfacts.operators import features, model, relations, svm
+from webfacts.operators.joins import cut_lineage
 
 ENTITY = "array<struct<text:string,label:string,`pos-tags`:string>>"
 
@@ -295,3 +297,19 @@ def test_append(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([("y", 2)], "s string, i int")
     assert sorted(map(tuple, model.append_labelled(a, b).collect())) == [(1, "x"), (2, "y")]
+
+
+def test_rounds_keep_one_state(spark, monkeypatch):
+    """Of the coefficients and past steps that each round stores, the last ones alone stay."""
+    stored = []
+
+    def store(df):
+        stored.append(cut_lineage(df))
+        return stored[-1]
+
+    monkeypatch.setattr(svm, "CELLS_PER_BLOCK", 40)
+    monkeypatch.setattr(svm, "cut_lineage", store)
+    model.fit_relations(labelled(spark, 36), 1.0)
+    states = [d for d in stored if "past" in d.columns]
+    left = [d for d in states if os.path.exists(d.inputFiles()[0].removeprefix("file:"))]
+    assert len(states) > 2 and len(left) == 1 and left[0] is states[-1]
